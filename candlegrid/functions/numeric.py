@@ -17,15 +17,10 @@ def truncate(x: Column, decimals: int) -> Column:
 
     The product is the plain double product, so 1.15 becomes 1.14 at two places.
     """
-    scale = float(10**decimals)
-    scaled = nan_to_null(x) * F.lit(scale)
-    # floor and ceil return BIGINT for doubles; beyond 2**53 a double has no fraction to cut
-    whole = (
-        F.when(F.abs(scaled) >= F.lit(float(2**53)), scaled)
-        .when(scaled >= 0, F.floor(scaled).cast("double"))
-        .otherwise(F.ceil(scaled).cast("double"))
-    )
-    return whole / F.lit(scale)
+    scale = F.lit(float(10**decimals))
+    scaled = F.nanvl(x, F.lit(None)) * scale
+    # the cast to BIGINT cuts toward zero; what does not fit has no fraction to cut
+    return F.coalesce(scaled.try_cast("bigint").cast("double"), scaled) / scale
 
 
 def to_number(x: Column) -> Column:

@@ -55,34 +55,39 @@ def find_peaks(x: np.ndarray, gap: int, prominence: float) -> np.ndarray:
     return rows[np.array(tall, dtype=bool)]
 
 
-def earlier_match(rows: np.ndarray, price: np.ndarray, reach: np.ndarray, lookback: int) -> dict[int, int]:
+def earlier_match(
+    rows: list[int], price: list[float], reach: list[float], lookback: int
+) -> dict[int, int]:
     """Peak row -> earliest of the ``lookback`` peaks before it that it tops by at most ``reach``."""
     found: dict[int, int] = {}
     for k in range(lookback, len(rows)):
-        i = int(rows[k])
-        before = rows[k - lookback : k]
-        rise = price[i] - price[before]
-        close = before[(rise > 0) & (np.abs(rise) <= reach[i])]
-        if len(close):
-            found[i] = int(close[0])
+        i = rows[k]
+        for j in rows[k - lookback : k]:
+            if price[i] > price[j] and abs(price[i] - price[j]) <= reach[i]:
+                found[i] = j
+                break
     return found
 
 
-def steepest_change(x: np.ndarray, start: int, i: int, percent: float) -> int | None:
-    """Row j in [start, i) above x[i] from which x fell relatively most, if by ``percent`` at least."""
-    span = x[start:i]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        change = np.abs(x[i] - span) / np.abs(span) * 100
-    change[~((x[i] < span) & (change >= percent))] = -1.0
-    best = int(np.argmax(change))
-    return start + best if change[best] >= 0 else None
+def steepest_change(x: list[float], start: int, i: int, percent: float) -> int | None:
+    """Row j in [start, i) above x[i] from which x fell relatively most, if by ``percent`` at least.
 
-
-def two_largest(x: np.ndarray, start: int, i: int) -> tuple[int, int] | None:
-    """Rows of the largest and second largest positive values in [start, i)."""
-    span = x[start:i]
-    rows = np.flatnonzero(span > 0)
-    if len(rows) < 2:
+    A fall from zero is infinite; the earliest row wins ties.
+    """
+    now, best, most = x[i], None, -1.0
+    for j in range(start, i):
+        then = x[j]
+        if now < then:
+            change = abs(now - then) / abs(then) * 100 if then else float("inf")
+            if change >= percent and change > most:
+                best, most = j, change
+    return best
+
+
+def two_largest(x: list[float], start: int, i: int) -> tuple[int, int] | None:
+    """Rows of the largest and second largest positive values in [start, i), earlier first on ties."""
+    positive = [j for j in range(start, i) if x[j] > 0]
+    if len(positive) < 2:
         return None
-    top = rows[np.argsort(-span[rows], kind="stable")[:2]] + start
-    return int(top[0]), int(top[1])
+    first, second = sorted(positive, key=lambda j: -x[j])[:2]
+    return first, second

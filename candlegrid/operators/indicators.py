@@ -1,7 +1,7 @@
 """Technical indicators per (ticker, period) series.
 
-Fixed-length windows and row-wise parts are window expressions; the recursive
-averages run in one grouped pass that follows on the same partitioning.
+Ranges, moves and deviations are window expressions; averages that carry a running
+state run in one pass over the series that follows on the same partitioning.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from candlegrid.config import DEFAULT_INDICATORS, Band, IndicatorSpec
 from candlegrid.operators import recurrences as rec
-from candlegrid.operators.series_pass import SERIES, Series, series_pass
+from candlegrid.operators.series_pass import ROW, SERIES, Series, row_in_series, series_pass
 
 
 def _ordered():
@@ -28,7 +28,7 @@ def _frame(n: int):
 
 def _warm(n: int) -> Column:
     """At least ``n`` rows so far, none of them without a price."""
-    return (F.col("_row") >= n) & (F.col("_priced") == F.col("_row"))
+    return (F.col(ROW) >= n) & (F.col("_priced") == F.col(ROW))
 
 
 def _add(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
@@ -60,9 +60,9 @@ def window_columns(df: DataFrame, spec: IndicatorSpec) -> tuple[DataFrame, list[
     ordered = _ordered()
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = {c: F.lag(c, 1).over(ordered) for c in ("High", "Low", "Close")}
-    helpers = ["_row", "_priced"]
+    helpers = [ROW, "_priced"]
     first: dict[str, Column] = {
-        "_row": F.row_number().over(ordered),
+        ROW: row_in_series(),
         "_priced": F.count(close).over(so_far),
     }
     if spec.atr or spec.di or spec.adx:
@@ -77,11 +77,9 @@ def window_columns(df: DataFrame, spec: IndicatorSpec) -> tuple[DataFrame, list[
         first["_minus_move"] = F.when((down > 0) & (down > up), down).when(up.isNotNull(), 0.0)
         helpers += ["_plus_move", "_minus_move"]
     if spec.force is not None:
-        first["FI"] = F.when(F.col("_row") == 1, F.lit(0.0) * F.col("Volume")).otherwise(
+        first["FI"] = F.when(F.col(ROW) == 1, F.lit(0.0) * F.col("Volume")).otherwise(
             (close - before["Close"]) * F.col("Volume")
         )
-    for n in spec.sma:
-        first[f"SMA{n}"] = F.when(_warm(n), F.avg(close).over(_frame(n)))
     if spec.willr:
         top, bottom = F.max(high).over(_frame(spec.willr)), F.min(low).over(_frame(spec.willr))
         drop = (top - close) / ((top - bottom) / -100.0)
@@ -92,6 +90,7 @@ def window_columns(df: DataFrame, spec: IndicatorSpec) -> tuple[DataFrame, list[
             _warm(n),
             _position_in_range(F.max(high).over(_frame(n)), close, F.min(low).over(_frame(n))),
         )
+        helpers.append("_fast_k")
     for n in {b.n for b, *_ in _bands(spec)}:
         first[f"_sd_{n}"] = F.when(_warm(n), F.stddev_pop(close).over(_frame(n)))
         helpers.append(f"_sd_{n}")
@@ -100,15 +99,8 @@ def window_columns(df: DataFrame, spec: IndicatorSpec) -> tuple[DataFrame, list[
         helpers.append(f"_mean_{n}")
 
     # _row and _priced are read by the others, so they come first
-    out = _add(df, {c: first.pop(c) for c in ("_row", "_priced")})
+    out = _add(df, {c: first.pop(c) for c in (ROW, "_priced")})
     out = _add(out, first)
-    if spec.stoch:
-        n, k, d = spec.stoch
-        shown = n + k + d - 2
-        out = out.withColumn("STOCH_slowk", F.when(_warm(n + k - 1), F.avg("_fast_k").over(_frame(k))))
-        out = out.withColumn("STOCH_slowd", F.when(_warm(shown), F.avg("STOCH_slowk").over(_frame(d))))
-        out = out.withColumn("STOCH_slowk", F.when(_warm(shown), F.col("STOCH_slowk")))
-        helpers.append("_fast_k")
     return out, helpers
 
 
@@ -128,6 +120,13 @@ def recursive_step(spec: IndicatorSpec):
         if spec.macd:
             out["MACD"], out["MACD_signal"] = rec.macd(s["Close"], *spec.macd)
             out["MACD_hist"] = out["MACD"] - out["MACD_signal"]
+        for n in spec.sma:
+            out[f"SMA{n}"] = rec.running_mean(s["Close"], n)
+        if spec.stoch:
+            n, k, d = spec.stoch
+            slow_k = rec.running_mean(s["_fast_k"], k, start=n - 1)
+            out["STOCH_slowd"] = rec.running_mean(slow_k, d, start=n + k - 2)
+            out["STOCH_slowk"] = np.where(np.isnan(out["STOCH_slowd"]), np.nan, slow_k)
         for n in _ema_lengths(spec):
             out[f"EMA{n}"] = rec.ema(s["Close"], n)
         for n in spec.force or ():
@@ -158,6 +157,9 @@ def recursive_fields(spec: IndicatorSpec) -> list[tuple[str, T.DataType]]:
         names.append("ATR")
     if spec.macd:
         names += ["MACD", "MACD_signal", "MACD_hist"]
+    names += [f"SMA{n}" for n in spec.sma]
+    if spec.stoch:
+        names += ["STOCH_slowk", "STOCH_slowd"]
     names += [f"EMA{n}" for n in _ema_lengths(spec)]
     names += [f"FI_{n}" for n in spec.force or ()]
     if spec.power:

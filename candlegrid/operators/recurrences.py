@@ -22,6 +22,24 @@ def _blank(x: np.ndarray) -> np.ndarray:
     return np.full(len(x), np.nan)
 
 
+def running_mean(x: np.ndarray, n: int, start: int = 0) -> np.ndarray:
+    """Mean of the last ``n`` values from a running total: add the new value, read, drop the oldest.
+
+    Kept as one total, in that order, so that its rounding is that of the usual
+    moving average and its cost does not grow with ``n``.
+    """
+    out = _blank(x)
+    first = start + n - 1
+    if len(x) > first:
+        seed = x[start:first]
+        moves = np.empty(2 * (len(x) - first))
+        moves[0::2] = x[first:]
+        moves[1::2] = -x[start : len(x) - n + 1]
+        totals = np.cumsum(np.r_[seed, moves])
+        out[first:] = totals[len(seed) :: 2] / n
+    return out
+
+
 def ema(x: np.ndarray, n: int, start: int = 0) -> np.ndarray:
     """Exponential average seeded with the mean of the ``n`` values from ``start`` on."""
     out = _blank(x)

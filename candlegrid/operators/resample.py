@@ -36,7 +36,10 @@ def _ohlcv(first, last):
 
 
 def resample(
-    bars: DataFrame, periods: Iterable[Period], empty_bins: str = "keep"
+    bars: DataFrame,
+    periods: Iterable[Period],
+    empty_bins: str = "keep",
+    blank: tuple[str, ...] = (),
 ) -> DataFrame:
     """First open, highest high, lowest low, last closes and summed volume per bin.
 
@@ -48,7 +51,9 @@ def resample(
     arrive partitioned by ticker are not exchanged at all.
 
     ``empty_bins``: "keep" adds a bar without prices and with zero volume for
-    each interior bin without days, "drop" leaves such bins out.
+    each interior bin without days, "drop" leaves such bins out. ``blank`` columns
+    mean nothing beyond a day and come out NULL; they are still read, so that a caller
+    that also needs them daily gets both results from one exchange.
     """
     periods = [p for p in periods if p.unit != "day"]
     if not periods:
@@ -58,12 +63,13 @@ def resample(
 
     day = F.col("Date")
     pieces = (
-        bars.select("ticker", "Date", *OHLCV, "created_at")
+        bars.select("ticker", "Date", *OHLCV, "created_at", *blank)
         .groupBy("ticker", week_end(day).alias("_week"), month_index(day).alias("_month"))
         .agg(
             F.min("Date").alias("_first"),
             F.max("Date").alias("_last"),
             F.min_by("created_at", "Date").alias("created_at"),
+            *(F.max(c).alias(c) for c in blank),
             *_ohlcv(day, day),
         )
     )
@@ -89,9 +95,10 @@ def resample(
         labelled.groupBy("ticker", F.col("_bin.period").alias("period"), F.col("_bin.Date").alias("Date"))
         .agg(
             F.first("created_at").alias("created_at"),
+            *(F.nullif(F.max(c), F.max(c)).alias(c) for c in blank),
             *_ohlcv(F.col("_first"), F.col("_last")),
         )
-        .select("Date", *OHLCV, "created_at", "ticker", "period")
+        .select("Date", *OHLCV, *blank, "created_at", "ticker", "period")
     )
     return binned if empty_bins == "drop" else _fill_gaps(binned, periods)
 
@@ -116,6 +123,7 @@ def _fill_gaps(binned: DataFrame, periods: list[Period]) -> DataFrame:
         label.alias("Date"),
         *(F.when(real, F.col(c)).alias(c) for c in OHLCV if c != "Volume"),
         F.when(real, F.col("Volume")).otherwise(0.0).alias("Volume"),
+        *(F.col(c) for c in binned.columns if c not in (*OHLCV, "Date", "created_at", "ticker", "period")),
         "created_at",
         "ticker",
         "period",

@@ -1,4 +1,4 @@
-"""One grouped Arrow pass over each (ticker, period) series."""
+"""One Arrow pass over every (ticker, period) series."""
 
 from __future__ import annotations
 
@@ -6,10 +6,23 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import candlegrid
+
+# Executors need not have this package installed: its functions travel with the task.
+cloudpickle.register_pickle_by_value(candlegrid)
+
 SERIES = ("ticker", "period")
+ROW = "_row"
+
+
+def row_in_series() -> Column:
+    """1-based row of a series in date order. Its window also lays the series out for a pass."""
+    return F.row_number().over(Window.partitionBy(*SERIES).orderBy("Date"))
 
 
 class Series(Mapping):
@@ -48,6 +61,36 @@ def _arrow(values: np.ndarray, kind: T.DataType) -> pa.Array:
     return pa.array(values, from_pandas=True)
 
 
+def whole_series(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Regroup ordered batches so that none splits a series; also gives each series' first row.
+
+    Only the unfinished last series is held back, so memory is bounded by a batch and
+    one series, and a series by the calendar.
+    """
+    held: list[pa.RecordBatch] = []
+
+    def checked(parts: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+        table = pa.Table.from_batches(parts)
+        row = table.column(ROW).to_numpy()
+        if row[0] != 1 or np.any((row[1:] != row[:-1] + 1) & (row[1:] != 1)):
+            raise ValueError("rows of a series are not together and in date order")
+        return table, np.flatnonzero(row == 1)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        starts = np.flatnonzero(batch.column(ROW).to_numpy() == 1)
+        if len(starts) and starts[-1] > 0 or len(starts) and held:
+            cut = int(starts[-1])
+            done = [*held, batch.slice(0, cut)] if cut else held
+            yield checked(done)
+            held = [batch.slice(cut)]
+        else:
+            held.append(batch)
+    if held:
+        yield checked(held)
+
+
 def series_pass(
     df: DataFrame,
     steps: Sequence[Step],
@@ -56,23 +99,30 @@ def series_pass(
 ) -> DataFrame:
     """Run ``steps`` in order on every (ticker, period) series, in date order.
 
-    A series has at most one row per calendar day, so a group is bounded by the
-    length of the calendar however many rows the table has. Steps see the columns
-    made by the steps before them. ``dropped`` input columns are not sent back.
+    ``df`` must carry ``row_in_series()`` as its ``_row`` column: the window behind it
+    keeps a series in one partition and in order, and the pass checks that it did.
+    A series has at most one row per calendar day, so no task holds an unbounded
+    group. Steps see the columns made by the steps before them. ``dropped`` input
+    columns are not sent back.
     """
     kept = [f for f in df.schema.fields if f.name not in dropped]
     schema = T.StructType(kept + [T.StructField(name, kind, True) for name, kind in added])
     kept_names = [f.name for f in kept]
-
-    def run(table: pa.Table) -> pa.Table:
-        days = table.column("Date").to_numpy()
-        if np.any(days[1:] < days[:-1]):
-            table = table.take(np.argsort(days, kind="stable"))
-        series = Series(table)
-        for step in steps:
-            series.add(step(series))
-        columns = [table.column(c) for c in kept_names]
-        columns += [_arrow(series[name], kind) for name, kind in added]
-        return pa.table(columns, names=kept_names + [name for name, _ in added])
-
-    return df.groupBy(*SERIES).applyInArrow(run, schema)
+    names = kept_names + [name for name, _ in added]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_series(batches):
+            table = table.combine_chunks()
+            lengths = np.diff(np.r_[starts, table.num_rows])
+            made: dict[str, list[np.ndarray]] = {name: [] for name, _ in added}
+            for start, length in zip(starts.tolist(), lengths.tolist()):
+                series = Series(table.slice(start, length))
+                for step in steps:
+                    series.add(step(series))
+                for name in made:
+                    made[name].append(series[name])
+            columns = [table.column(c) for c in kept_names]
+            columns += [_arrow(np.concatenate(made[name]), kind) for name, kind in added]
+            yield from pa.table(columns, names=names).to_batches()
+
+    return df.mapInArrow(run, schema)

@@ -16,7 +16,7 @@ from candlegrid.config import DEFAULT_SIGNALS, SignalSpec
 from candlegrid.functions.numeric import change_at_least
 from candlegrid.functions.text import pair_text
 from candlegrid.operators.extrema import earlier_match, find_peaks, steepest_change, two_largest
-from candlegrid.operators.series_pass import Series, series_pass
+from candlegrid.operators.series_pass import ROW, Series, row_in_series, series_pass
 
 LONG, SHORT, UP, DOWN = "Long", "Short", "Up", "Down"
 
@@ -40,11 +40,11 @@ def position_step(spec: SignalSpec):
     """Extrema and the rows they lean on, as one step of the grouped pass."""
 
     def step(s: Series) -> dict[str, np.ndarray]:
-        n = s.rows
+        n, thresholds = s.rows, dict(spec.divergence_1)
         out: dict[str, np.ndarray] = {"_pos": np.arange(n, dtype=float)}
         for c in _previous(spec):
             out[f"_before_{c}"] = np.r_[np.nan, s[c][:-1]][:n]
-        for c in ("price_search", "_power_1", "_power_2", *(f"_from_{name}" for name, _ in spec.divergence_1)):
+        for c in ("price_search", "_power_1", "_power_2", *(f"_from_{name}" for name in thresholds)):
             out[c] = np.full(n, np.nan)
 
         price, force = s[spec.price], s[spec.force_column]
@@ -57,13 +57,17 @@ def position_step(spec: SignalSpec):
             out[price_flag] = _flags(n, rows)
             strong = find_peaks(sign * force, spec.force_gap, spec.force_prominence)
             out[f"{spec.force_column}_{force_flag}"] = _flags(n, strong[sign * force[strong] > 0])
-            for i, start in earlier_match(rows, sign * price, s["ATR"], spec.lookback).items():
+            matches = earlier_match(
+                rows.tolist(), (sign * price).tolist(), s["ATR"].tolist(), spec.lookback
+            )
+            mirrored = {c: (sign * s[c]).tolist() for c in (power, *thresholds)}
+            for i, start in matches.items():
                 out["price_search"][i] = start
-                for name, percent in spec.divergence_1:
-                    j = steepest_change(sign * s[name], start, i, percent)
+                for name, percent in thresholds.items():
+                    j = steepest_change(mirrored[name], start, i, percent)
                     if j is not None:
                         out[f"_from_{name}"][i] = j
-                pair = two_largest(sign * s[power], start, i)
+                pair = two_largest(mirrored[power], start, i)
                 if pair is not None:
                     out["_power_1"][i], out["_power_2"][i] = pair
         return out
@@ -151,5 +155,6 @@ def signal_names(spec: SignalSpec) -> list[str]:
 def signals(df: DataFrame, spec: SignalSpec = DEFAULT_SIGNALS) -> DataFrame:
     """The input columns, which must hold the indicators, followed by the signals."""
     base = df.columns
-    passed = series_pass(df, [position_step(spec)], position_fields(spec))
+    laid_out = df.withColumn(ROW, row_in_series())
+    passed = series_pass(laid_out, [position_step(spec)], position_fields(spec), dropped=[ROW])
     return signal_columns(passed, spec).select(*base, *signal_names(spec))

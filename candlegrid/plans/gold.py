@@ -25,33 +25,32 @@ BASE = (
     "Date", "Open", "High", "Low", "Close", "Adj Close", "Volume", "Dividends",
     "Stock Splits", "created_at", "ticker", "period",
 )
+DAILY_ONLY = ("Dividends", "Stock Splits")
 
 
 def period_series(
-    silver: DataFrame, periods: Iterable[Period] = PERIODS, empty_bins: str = "drop"
+    silver: DataFrame,
+    periods: Iterable[Period] = PERIODS,
+    empty_bins: str = "drop",
+    partitioned: bool = False,
 ) -> DataFrame:
     """Daily bars as they are plus the resampled periods, keyed by (ticker, period, Date).
 
     Dividends and Stock Splits are NULL outside the daily period. Empty bins are
     dropped unless asked for: a bar without prices would blank every recursive
-    indicator after it. The bars are exchanged on ticker once, and both the daily rows
-    and the resampled ones are built from that exchange.
+    indicator after it. The bars are exchanged on ticker once, both the daily rows and
+    the resampled ones are built from that exchange, and their union keeps its
+    partitioning. Bars stored in ticker buckets (``partitioned=True``) are not exchanged.
     """
     periods = list(periods)
-    by_ticker = silver.repartition("ticker")
+    by_ticker = silver if partitioned else silver.repartition("ticker")
     parts = []
     if any(p.unit == "day" for p in periods):
-        parts.append(by_ticker.withColumn("period", F.lit("D")))
+        parts.append(by_ticker.withColumn("period", F.lit("D")).select(*BASE))
     slow = [p for p in periods if p.unit != "day"]
     if slow:
-        parts.append(resample(by_ticker, slow, empty_bins))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    for c in ("Dividends", "Stock Splits"):
-        if c not in out.columns:
-            out = out.withColumn(c, F.lit(None).cast("double"))
-    return out.select(*BASE)
+        parts.append(resample(by_ticker, slow, empty_bins, blank=DAILY_ONLY).select(*BASE))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def analyse(series: DataFrame, config: PeriodConfig = PeriodConfig()) -> DataFrame:
@@ -80,6 +79,7 @@ def build_gold(
     silver: DataFrame,
     configs: Mapping[str, PeriodConfig] | None = None,
     empty_bins: str = "drop",
+    partitioned: bool = False,
 ) -> DataFrame:
     """Gold table of all periods, truncated to two places as it is stored.
 
@@ -92,6 +92,6 @@ def build_gold(
         by_config.setdefault((configs or {}).get(p.code, PeriodConfig()), []).append(p)
     gold: DataFrame | None = None
     for config, periods in by_config.items():
-        part = analyse(period_series(silver, periods, empty_bins), config)
+        part = analyse(period_series(silver, periods, empty_bins, partitioned), config)
         gold = part if gold is None else gold.unionByName(part, allowMissingColumns=True)
     return truncate_measures(gold)

@@ -16,6 +16,9 @@ def build_session(app: str = "candlegrid", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "snappy")
+        # the gold table is wide: generated methods over 8000 bytes are not compiled by the JVM
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     if master is not None:

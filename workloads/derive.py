@@ -14,40 +14,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _code(prefix: str, key: str, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), width, "0"))
+def _trade_order() -> Column:
+    """l_orderkey, l_linenumber, price and discount packed into one fixed-width number.
 
-
-# All columns, so that equal (l_orderkey, l_linenumber) pairs still have one order.
-TRADE_ORDER = (
-    "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-    "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-)
+    Trades equal in all four are alike in every value taken from them. A fixed-width
+    order keeps min_by and max_by in hash aggregation, which a struct would not.
+    """
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    low = (F.col("l_linenumber").cast("bigint") * 10**9 + cents) * 100 + F.round(F.col("l_discount") * 100).cast("bigint")
+    return F.col("l_orderkey").cast("decimal(19,0)") * F.lit(10**12).cast("decimal(13,0)") + low.cast("decimal(19,0)")
 
 
 def _daily(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
-    trades = table(spark, sf_dir, "lineitem").withColumn("_o", F.struct(*TRADE_ORDER))
+    trades = table(spark, sf_dir, "lineitem").withColumn("_o", _trade_order())
     price, net = F.col("l_extendedprice"), F.col("l_extendedprice") * (1 - F.col("l_discount"))
     stamp = table(spark, sf_dir, "lineitem").select(F.max("l_shipdate")).scalar()
     folded = trades.groupBy(
-        _code("S", "l_suppkey", 5).alias("ticker"), F.to_date("l_shipdate").alias("Date")
+        F.format_string("S%05d", "l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("Date")
     ).agg(
-        F.min("_o").alias("_min"),
-        F.max("_o").alias("_max"),
+        F.min_by(price, "_o").alias("Open"),
         F.max(price * (1 + F.col("l_tax"))).alias("High"),
         F.min(net).alias("Low"),
+        F.max_by(price, "_o").alias("Close"),
+        F.max_by(net, "_o").alias("Adj Close"),
         F.sum("l_quantity").alias("Volume"),
         F.max("l_tax").alias("Dividends"),
         *extra,
     )
-    first, last = F.col("_min"), F.col("_max")
-    return (
-        folded.withColumn("Open", first["l_extendedprice"])
-        .withColumn("Close", last["l_extendedprice"])
-        .withColumn("Adj Close", last["l_extendedprice"] * (1 - last["l_discount"]))
-        .withColumn("Stock Splits", F.lit(0.0))
-        .withColumn("created_at", stamp)
-    )
+    return folded.withColumn("Stock Splits", F.lit(0.0)).withColumn("created_at", stamp)
 
 
 BAR = ("Date", *PRICE_COLUMNS, "Dividends", "Stock Splits", "created_at", "ticker")
@@ -60,7 +54,7 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``bars`` with holes: one price column NULL or NaN on some rows."""
-    slot = F.col("_max")["l_orderkey"] % 97
+    slot = F.col("_order") % 97
 
     def holed(i: int, c: str) -> Column:
         value = F.when(slot == i, F.lit(None).cast("double"))
@@ -68,7 +62,7 @@ def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
             value = value.when(slot == 6, F.lit(float("nan")))
         return value.otherwise(F.col(c)).alias(c)
 
-    return _daily(spark, sf_dir).select(
+    return _daily(spark, sf_dir, F.max("l_orderkey").alias("_order")).select(
         "Date",
         *(holed(i, c) for i, c in enumerate(PRICE_COLUMNS)),
         "Dividends",
@@ -116,7 +110,7 @@ def symbols(spark: SparkSession, sf_dir: str, *, old: bool) -> DataFrame:
         .where(keep)
         .select(
             F.col("c_custkey").alias("cik"),
-            _code("C", "c_custkey", 6).alias("ticker"),
+            F.format_string("C%06d", "c_custkey").alias("ticker"),
             F.col("c_name").alias("title"),
             F.lit(day).cast("timestamp").alias("last_updated"),
             ((F.col("c_custkey") % 11 != 0) | F.lit(not old)).alias("is_active"),
@@ -193,7 +187,7 @@ def fundamentals(spark: SparkSession, sf_dir: str, day: str = "2001-06-01") -> D
     def measure(name: str) -> Column:
         value = F.when(F.lit(False), F.lit(None).cast("double"))
         for t in range(4):
-            mine = template == t
+            mine = (template == t) & (k >= len(LISTED))
             for b, (m, v) in enumerate(BREAKS[t], start=1):
                 if m == name:
                     value = value.when(mine & (slot == b), F.lit(v))
@@ -202,7 +196,7 @@ def fundamentals(spark: SparkSession, sf_dir: str, day: str = "2001-06-01") -> D
             value = value.when(mine, F.lit(PROFILE[name][t]))
         return value.alias(name)
 
-    ticker = _code("C", "c_custkey", 6)
+    ticker = F.format_string("C%06d", "c_custkey")
     for i, name in enumerate(LISTED):
         ticker = F.when(k == i, F.lit(name)).otherwise(ticker)
     return table(spark, sf_dir, "customer").select(
