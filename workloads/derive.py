@@ -182,32 +182,40 @@ LISTED = ("AAPL", "MSFT", "GOOGL", "AMZN", "NVDA", "META", "TSLA", "NFLX", "QQQ"
 def fundamentals(spark: SparkSession, sf_dir: str, day: str = "2001-06-01") -> DataFrame:
     """Company measures built from the customer key alone."""
     k = F.col("c_custkey")
-    template, slot = k % 4, F.floor(k / 4) % 14
-
-    def measure(name: str) -> Column:
-        value = F.when(F.lit(False), F.lit(None).cast("double"))
-        for t in range(4):
-            mine = (template == t) & (k >= len(LISTED))
-            for b, (m, v) in enumerate(BREAKS[t], start=1):
-                if m == name:
-                    value = value.when(mine & (slot == b), F.lit(v))
-            if MISSING[t] == name:
-                value = value.when(mine & (slot == 13), F.lit(None).cast("double"))
-            value = value.when(mine, F.lit(PROFILE[name][t]))
-        return value.alias(name)
-
-    ticker = F.format_string("C%06d", "c_custkey")
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(k >= len(LISTED), k % 4).alias("template"),
+        (F.floor(k / 4) % 14).alias("slot"),
+    )
+    ticker = F.format_string("C%06d", k)
     for i, name in enumerate(LISTED):
         ticker = F.when(k == i, F.lit(name)).otherwise(ticker)
-    return table(spark, sf_dir, "customer").select(
+    # 56 rows whatever the scale
+    return customers.join(F.broadcast(_profiles(spark)), ["template", "slot"], "left").select(
         F.lit(day).cast("date").alias("created_at"),
         ticker.alias("ticker"),
-        *(measure(m) for m in PROFILE),
+        *PROFILE,
         F.when(k % 13 == 0, "none").when(k % 17 == 0, "None").otherwise("buy").alias("analyst_rating_key"),
-        k.alias("c_custkey"),
+        "c_custkey",
     )
 
 
+def _profiles(spark: SparkSession) -> DataFrame:
+    """Measures of each template in each slot."""
+    rows = []
+    for t in range(4):
+        for slot in range(14):
+            row: dict[str, float | None] = {m: v[t] for m, v in PROFILE.items()}
+            if 1 <= slot <= 12:
+                measure, value = BREAKS[t][slot - 1]
+                row[measure] = value
+            elif slot == 13:
+                row[MISSING[t]] = None
+            rows.append((t, slot, *row.values()))
+    columns = ", ".join(f"{m} double" for m in PROFILE)
+    return spark.createDataFrame(rows, f"template bigint, slot bigint, {columns}")
+
+
 def fundamentals_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fundamentals`` as it arrives: measures as text, with words for missing values."""
     base = fundamentals(spark, sf_dir)
