@@ -106,14 +106,14 @@ def _indicator_query(columns: tuple[str, ...], digits: int) -> Query:
     return run
 
 
-# name -> columns, decimals compared; a 200-day mean of cents has five exact decimals
+# name -> columns, decimals compared; six where means of cents fall on the half of four
 INDICATOR_GROUPS: dict[str, tuple[tuple[str, ...], int]] = {
     "sma": (("SMA50", "SMA200"), 6),
     "willr": (("WILLR",), 4),
     "stoch": (("STOCH_slowk", "STOCH_slowd"), 4),
     "ema": (("EMA13", "EMA26"), 4),
     "macd": (("MACD", "MACD_signal", "MACD_hist"), 4),
-    "atr": (("ATR",), 4),
+    "atr": (("ATR",), 6),
     "di": (("PLUS_DI", "MINUS_DI"), 4),
     "adx": (("ADX",), 4),
     "force_index": (("FI", "FI_2", "FI_13"), 4),
@@ -154,17 +154,20 @@ SIGNAL_GROUPS: dict[str, tuple[str, ...]] = {
 for _name, _columns in SIGNAL_GROUPS.items():
     register(_name, o.signal_sql(_columns))(_signal_query(_columns))
 
+_GOLD_SHOWN = {"ADX": 4, "MACD_hist": 4, "ATR": 6, "EMA26": 4, "FI_13": 4, "upperband": 4, "EMA13_slope": 4}
+
+
 @register(
     "gold",
     f"""WITH RECURSIVE {o.SIGNALS} SELECT ticker, period, "Date", c AS "Close", v AS "Volume",
-    {", ".join(f'round("{c}", 4) + 0.0 AS "{c}"' for c in ("ADX", "MACD_hist", "ATR", "EMA26", "FI_13", "upperband", "EMA13_slope"))},
+    {", ".join(f'round("{c}", {d}) + 0.0 AS "{c}"' for c, d in _GOLD_SHOWN.items())},
     CAST("price_search" AS DOUBLE) AS "price_search", "EMA_bullbear", "Side_1", "Side_2", "Side_3" FROM signals""",
 )
 def _(spark, sf):
     out = analyse(period_series(derive.bars(spark, sf)))
     return out.select(
         "ticker", "period", "Date", "Close", "Volume",
-        *(F.round(c, 4).alias(c) for c in ("ADX", "MACD_hist", "ATR", "EMA26", "FI_13", "upperband", "EMA13_slope")),
+        *(F.round(c, d).alias(c) for c, d in _GOLD_SHOWN.items()),
         _shape("price_search"), "EMA_bullbear", "Side_1", "Side_2", "Side_3",
     )
 
