@@ -184,7 +184,6 @@ def test_conclusion_has_29_columns_and_drops_the_latest_day(spark, bars):
 
 
 def test_one_exchange_feeds_daily_and_slow_periods(spark, bars):
-    plan = build_gold(bars)._jdf.queryExecution().executedPlan().toString()
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plan = build_gold(bars)._jdf.queryExecution().executedPlan().toString()
