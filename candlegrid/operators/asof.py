@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,34 +30,71 @@ def asof_many(
     the match. Events sort before probes on equal dates. No pairs are formed, so
     the work is linear in the rows of a key.
     """
-    payload = F.struct(F.col(date), *(F.col(v) for v in values))
-    moved = F.date_sub(F.col(date), _by_kind(F.col(kind), tolerance_days))
-    probe_cols = probes.columns
     event_rows = events.where(F.col(kind).isin(*tolerance_days)).select(
-        F.col(key),
-        moved.alias("_at"),
-        F.lit(0).alias("_probe"),
-        *(F.when(F.col(kind) == k, payload).alias(f"_ev_{k}") for k in tolerance_days),
+        key, *_event_columns(F.lit(True), tolerance_days, values, date, kind)
     )
     probe_rows = probes.select(
         F.col(key),
         F.col(date).alias("_at"),
         F.lit(1).alias("_probe"),
-        F.struct(*(F.col(c) for c in probe_cols)).alias("_row"),
+        F.struct(*(F.col(c) for c in probes.columns)).alias("_row"),
     )
+    merged = event_rows.unionByName(probe_rows, allowMissingColumns=True)
+    return _match(merged, key, tolerance_days, probes.columns)
+
+
+def asof_within(
+    rows: DataFrame,
+    is_probe: Column,
+    tolerance_days: Mapping[str, int],
+    values: tuple[str, ...],
+    *,
+    key: str = "ticker",
+    date: str = "Date",
+    kind: str = "period",
+) -> DataFrame:
+    """As ``asof_many`` where one frame holds both: its probe rows, and events as the rest.
+
+    The frame is read once. The result holds the probe rows' key, date and values.
+    """
+    shown = [key, date, *values]
+    merged = rows.select(
+        F.col(key),
+        F.when(is_probe, F.struct(*shown)).alias("_row"),
+        *_event_columns(~is_probe, tolerance_days, values, date, kind),
+    )
+    return _match(merged, key, tolerance_days, shown)
+
+
+def _event_columns(
+    is_event: Column, tolerance_days: Mapping[str, int], values: tuple[str, ...], date: str, kind: str
+) -> list[Column]:
+    """Moved date, probe mark and one payload column per kind."""
+    payload = F.struct(F.col(date), *(F.col(v) for v in values))
+    moved = F.date_sub(F.col(date), _by_kind(F.col(kind), tolerance_days))
+    return [
+        F.when(is_event, moved).otherwise(F.col(date)).alias("_at"),
+        F.when(is_event, 0).otherwise(1).alias("_probe"),
+        *(F.when(is_event & (F.col(kind) == k), payload).alias(f"_ev_{k}") for k in tolerance_days),
+    ]
+
+
+def _match(
+    merged: DataFrame, key: str, kinds: Iterable[str], probe_columns: Sequence[str]
+) -> DataFrame:
     timeline = (
         Window.partitionBy(key)
         .orderBy("_at", "_probe")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    merged = event_rows.unionByName(probe_rows, allowMissingColumns=True)
     matched = merged.select(
+        key,
         "_probe",
         "_row",
-        *(F.last(f"_ev_{k}", ignorenulls=True).over(timeline).alias(k) for k in tolerance_days),
+        *(F.last(f"_ev_{k}", ignorenulls=True).over(timeline).alias(k) for k in kinds),
     )
     return matched.where(F.col("_probe") == 1).select(
-        *(F.col("_row")[c].alias(c) for c in probe_cols), *(F.col(k) for k in tolerance_days)
+        *(F.col(c) if c == key else F.col("_row")[c].alias(c) for c in probe_columns), *kinds
     )
 
 

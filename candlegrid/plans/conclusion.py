@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from candlegrid.config import PERIODS, Period
 from candlegrid.functions.calendar import within_years
-from candlegrid.operators.asof import asof_many
+from candlegrid.operators.asof import asof_many, asof_within
 
 SIDES = ("Side_1", "Side_2", "Side_3")
 
@@ -48,16 +48,15 @@ def asof_period(prices: DataFrame, p: Period, as_of: Column, years: int = 2) ->
 def entry_conclusion(prices: DataFrame, as_of: Column, years: int = 2) -> DataFrame:
     """One row per ticker and day with seven dates and 21 sides (29 columns).
 
-    ``prices`` needs ticker, Date, period and the three sides. The exchange on
-    ticker made for the as-of pass also serves the latest-day window.
+    ``prices`` needs ticker, Date, period and the three sides, and is read once. The
+    exchange on ticker made for the as-of pass also serves the latest-day window.
     """
     slow = [p for p in PERIODS if p.unit != "day"]
-    matched = asof_many(
-        daily_slice(prices, as_of, years),
-        prices.select("ticker", "Date", "period", *SIDES),
-        {p.code: p.tolerance_days for p in slow},
-        SIDES,
+    daily = F.col("period") == "D"
+    rows = prices.select("ticker", "Date", "period", *SIDES).where(
+        F.col("period").isin(*(p.code for p in slow)) | (daily & within_years(F.col("Date"), as_of, years))
     )
+    matched = asof_within(rows, daily, {p.code: p.tolerance_days for p in slow}, SIDES)
     kept = without_latest_day(matched)
     columns = [F.col("ticker"), F.col("Date").alias("Date_D")]
     columns += [F.col(p.code)["Date"].alias(f"Date_{p.suffix}") for p in slow]

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlegrid.config import PERIODS
-from candlegrid.operators.resample import resample
+from candlegrid.plans.gold import period_series
 from candlegrid.schemas import PRICE_COLUMNS
 
 
@@ -79,9 +84,27 @@ def bars_as_of(spark: SparkSession, sf_dir: str) -> Column:
 
 def all_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars of all seven periods, without indicators."""
-    daily = bars(spark, sf_dir)
-    slow = resample(daily, PERIODS, empty_bins="drop")
-    return daily.withColumn("period", F.lit("D")).unionByName(slow, allowMissingColumns=True)
+    return period_series(bars(spark, sf_dir))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once and read back, for inputs that stand for stored tables.
+
+    Written to the shared folder the session names in spark.checkpoint.dir; a folder of our
+    own, removed at exit, only where none is named.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    path = f"{folder}/derived-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="candlegrid-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def gold_sides(spark: SparkSession, sf_dir: str) -> DataFrame:

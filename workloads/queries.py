@@ -382,7 +382,7 @@ def _(spark, sf):
 
 def _prices_old_new(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     number = F.substr("ticker", F.lit(2)).cast("bigint")
-    full = derive.all_periods(spark, sf).select("Date", "ticker", "period", "Close", "Volume")
+    full = derive.stored(derive.all_periods(spark, sf).select("Date", "ticker", "period", "Close", "Volume"))
     cut: Column = F.date_sub(derive.bars_as_of(spark, sf), 30)
     old = full.where(F.col("Date") <= cut).withColumn(
         "Close", F.when(number % 10 == 0, F.col("Close") * 2).otherwise(F.col("Close"))
