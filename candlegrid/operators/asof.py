@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +31,11 @@ def asof_many(
     the work is linear in the rows of a key.
     """
     event_rows = events.where(F.col(kind).isin(*tolerance_days)).select(
-        key, *_event_columns(F.lit(True), tolerance_days, values, date, kind)
+        F.col(key),
+        F.date_sub(F.col(date), _by_kind(F.col(kind), tolerance_days)).alias("_at"),
+        F.lit(0).alias("_probe"),
+        F.col(kind).alias("_kind"),
+        F.struct(F.col(date), *(F.col(v) for v in values)).alias("_event"),
     )
     probe_rows = probes.select(
         F.col(key),
@@ -40,7 +44,11 @@ def asof_many(
         F.struct(*(F.col(c) for c in probes.columns)).alias("_row"),
     )
     merged = event_rows.unionByName(probe_rows, allowMissingColumns=True)
-    return _match(merged, key, tolerance_days, probes.columns)
+    found = _latest(key, F.col("_kind"), F.col("_event"), tolerance_days)
+    # exchanged here, before the window splits the event into one column per kind
+    return merged.repartition(key).select("_probe", "_row", *found).where(F.col("_probe") == 1).select(
+        *(F.col("_row")[c].alias(c) for c in probes.columns), *tolerance_days
+    )
 
 
 def asof_within(
@@ -57,45 +65,32 @@ def asof_within(
 
     The frame is read once. The result holds the probe rows' key, date and values.
     """
-    shown = [key, date, *values]
+    moved = F.date_sub(F.col(date), _by_kind(F.col(kind), tolerance_days))
     merged = rows.select(
-        F.col(key),
-        F.when(is_probe, F.struct(*shown)).alias("_row"),
-        *_event_columns(~is_probe, tolerance_days, values, date, kind),
+        key,
+        date,
+        *values,
+        F.when(is_probe, F.col(date)).otherwise(moved).alias("_at"),
+        F.when(is_probe, 1).otherwise(0).alias("_probe"),
+        F.when(~is_probe, F.col(kind)).alias("_kind"),
     )
-    return _match(merged, key, tolerance_days, shown)
-
+    event = F.struct(F.col(date), *(F.col(v) for v in values))
+    found = _latest(key, F.col("_kind"), event, tolerance_days)
+    shown = [key, date, *values]
+    return merged.repartition(key).select(*shown, "_probe", *found).where(F.col("_probe") == 1).drop("_probe")
 
-def _event_columns(
-    is_event: Column, tolerance_days: Mapping[str, int], values: tuple[str, ...], date: str, kind: str
-) -> list[Column]:
-    """Moved date, probe mark and one payload column per kind."""
-    payload = F.struct(F.col(date), *(F.col(v) for v in values))
-    moved = F.date_sub(F.col(date), _by_kind(F.col(kind), tolerance_days))
-    return [
-        F.when(is_event, moved).otherwise(F.col(date)).alias("_at"),
-        F.when(is_event, 0).otherwise(1).alias("_probe"),
-        *(F.when(is_event & (F.col(kind) == k), payload).alias(f"_ev_{k}") for k in tolerance_days),
-    ]
 
+def _latest(key: str, kind: Column, event: Column, kinds: Iterable[str]) -> list[Column]:
+    """Per kind, the last event at or before each row of the merged timeline.
 
-def _match(
-    merged: DataFrame, key: str, kinds: Iterable[str], probe_columns: Sequence[str]
-) -> DataFrame:
+    Rows travel with one event column; it is told apart by kind behind the exchange on ``key``.
+    """
     timeline = (
         Window.partitionBy(key)
         .orderBy("_at", "_probe")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    matched = merged.select(
-        key,
-        "_probe",
-        "_row",
-        *(F.last(f"_ev_{k}", ignorenulls=True).over(timeline).alias(k) for k in kinds),
-    )
-    return matched.where(F.col("_probe") == 1).select(
-        *(F.col(c) if c == key else F.col("_row")[c].alias(c) for c in probe_columns), *kinds
-    )
+    return [F.last(F.when(kind == k, event), ignorenulls=True).over(timeline).alias(k) for k in kinds]
 
 
 def _by_kind(kind: Column, days: Mapping[str, int]) -> Column:
