@@ -301,15 +301,16 @@ def _(spark, sf):
 
 @register("symbols_from_json", f"WITH {_SYMBOLS} SELECT * FROM new_symbols")
 def _(spark, sf):
-    # one document per nation, so that no document holds the whole list
-    new = derive.symbols(spark, sf, old=False).join(
-        derive.table(spark, sf, "customer").select(F.col("c_custkey").alias("cik"), "c_nationkey"), "cik"
-    )
+    # documents of at most 1000 records, however long the list
     record = F.struct(F.col("cik").alias("cik_str"), "ticker", "title")
-    documents = new.groupBy("c_nationkey", (F.col("cik") % 64).alias("part")).agg(
-        F.to_json(
-            F.map_from_entries(F.collect_list(F.struct(F.col("cik").cast("string"), record)))
-        ).alias("value")
+    documents = (
+        derive.symbols(spark, sf, old=False)
+        .groupBy(F.floor(F.col("cik") / 1000).alias("part"))
+        .agg(
+            F.to_json(
+                F.map_from_entries(F.collect_list(F.struct(F.col("cik").cast("string"), record)))
+            ).alias("value")
+        )
     )
     return _dated(symbols_from_json(documents, F.lit("2001-06-01").cast("timestamp")))
 
