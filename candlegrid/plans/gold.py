@@ -32,7 +32,6 @@ def period_series(
     silver: DataFrame,
     periods: Iterable[Period] = PERIODS,
     empty_bins: str = "drop",
-    partitioned: bool = False,
 ) -> DataFrame:
     """Daily bars as they are plus the resampled periods, keyed by (ticker, period, Date).
 
@@ -40,10 +39,10 @@ def period_series(
     dropped unless asked for: a bar without prices would blank every recursive
     indicator after it. The bars are exchanged on ticker once, both the daily rows and
     the resampled ones are built from that exchange, and their union keeps its
-    partitioning. Bars stored in ticker buckets (``partitioned=True``) are not exchanged.
+    partitioning.
     """
     periods = list(periods)
-    by_ticker = silver if partitioned else silver.repartition("ticker")
+    by_ticker = silver.repartition("ticker")
     parts = []
     if any(p.unit == "day" for p in periods):
         parts.append(by_ticker.withColumn("period", F.lit("D")).select(*BASE))
@@ -79,7 +78,6 @@ def build_gold(
     silver: DataFrame,
     configs: Mapping[str, PeriodConfig] | None = None,
     empty_bins: str = "drop",
-    partitioned: bool = False,
 ) -> DataFrame:
     """Gold table of all periods, truncated to two places as it is stored.
 
@@ -92,6 +90,6 @@ def build_gold(
         by_config.setdefault((configs or {}).get(p.code, PeriodConfig()), []).append(p)
     gold: DataFrame | None = None
     for config, periods in by_config.items():
-        part = analyse(period_series(silver, periods, empty_bins, partitioned), config)
+        part = analyse(period_series(silver, periods, empty_bins), config)
         gold = part if gold is None else gold.unionByName(part, allowMissingColumns=True)
     return truncate_measures(gold)

@@ -33,17 +33,6 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     out.parquet(path)
 
 
-def write_bucketed_bars(df: DataFrame, name: str, buckets: int) -> None:
-    """Silver as a catalog table in ticker buckets, which ``build_gold`` reads without an exchange."""
-    (
-        df.repartition(buckets, "ticker")
-        .write.mode("overwrite")
-        .bucketBy(buckets, "ticker")
-        .sortBy("ticker", "Date")
-        .saveAsTable(name)
-    )
-
-
 def _versions(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
     """(version, complete) of every version under ``path``, oldest first."""
     fs, root = _hadoop_path(spark, path)
