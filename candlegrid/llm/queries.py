@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from candlegrid.llm import toxicity
 from candlegrid.llm.bpe_codec import digests, encode
+from candlegrid.llm.near_dedup import hexadecimal, near_duplicates
+from candlegrid.llm.pii import find_pii, span_digests
 from candlegrid.llm.token_counts import token_counts
 
 
@@ -15,16 +19,34 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels"), folds=5))
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(find_pii(_table(spark, sf_dir, "documents")))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_bpe_codec": op4_bpe_codec,
+    "op5_pii": op5_pii,
     "op7_token_counts": op7_token_counts,
 }
 
