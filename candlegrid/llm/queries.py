@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlegrid.llm import toxicity
+from candlegrid.llm import substring_dedup, toxicity
 from candlegrid.llm.bpe_codec import digests, encode
+from candlegrid.llm.decontamination import contamination, contamination_digests
 from candlegrid.llm.near_dedup import hexadecimal, near_duplicates
 from candlegrid.llm.pii import find_pii, span_digests
 from candlegrid.llm.token_counts import token_counts
@@ -26,6 +27,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(substring_dedup.deduplicated(_table(spark, sf_dir, "documents"), 13))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
@@ -42,12 +47,18 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digests(contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 10))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_bpe_codec": op4_bpe_codec,
     "op5_pii": op5_pii,
     "op7_token_counts": op7_token_counts,
+    "op9_decontamination": op9_decontamination,
 }
 
 SQL: dict[str, str] = {}
