@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlegrid.llm import substring_dedup, toxicity
+from candlegrid.llm import license_scan, substring_dedup, toxicity
 from candlegrid.llm.bpe_codec import digests, encode
 from candlegrid.llm.decontamination import contamination, contamination_digests
 from candlegrid.llm.near_dedup import hexadecimal, near_duplicates
@@ -43,6 +43,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(find_pii(_table(spark, sf_dir, "documents")))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(license_scan.scan(_table(spark, sf_dir, "documents")))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_bpe_codec": op4_bpe_codec,
     "op5_pii": op5_pii,
+    "op6_license_scan": op6_license_scan,
     "op7_token_counts": op7_token_counts,
     "op9_decontamination": op9_decontamination,
 }
