@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlegrid.llm import license_scan, substring_dedup, toxicity
+from candlegrid.llm import fingerprints, license_scan, substring_dedup, toxicity
 from candlegrid.llm.bpe_codec import digests, encode
 from candlegrid.llm.decontamination import contamination, contamination_digests
 from candlegrid.llm.near_dedup import hexadecimal, near_duplicates
@@ -51,6 +51,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digests(contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 10))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": op5_pii,
     "op6_license_scan": op6_license_scan,
     "op7_token_counts": op7_token_counts,
+    "op8_fingerprints": op8_fingerprints,
     "op9_decontamination": op9_decontamination,
 }
 
