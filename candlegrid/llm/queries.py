@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from candlegrid.llm import fingerprints, license_scan, substring_dedup, toxicity
 from candlegrid.llm.bpe_codec import digests, encode
 from candlegrid.llm.decontamination import contamination, contamination_digests
+from candlegrid.llm.lm_scoring import lm_scores
 from candlegrid.llm.near_dedup import hexadecimal, near_duplicates
 from candlegrid.llm.pii import find_pii, span_digests
 from candlegrid.llm.token_counts import token_counts
@@ -59,6 +60,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digests(contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 10))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_fingerprints": op8_fingerprints,
     "op9_decontamination": op9_decontamination,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 SQL: dict[str, str] = {}
