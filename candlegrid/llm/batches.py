@@ -37,10 +37,16 @@ def map_texts(
     text_col: str = "text",
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows of docs as (id, keep.., columns): make() builds, once per task, a function from a list of texts to one list per column."""
+    """Rows of docs as (id, keep.., columns): make() builds, once per task, a function from a list of texts to one list per column.
+
+    The text itself comes along, after the others, if keep names it.
+    """
+    with_text = text_col in keep
+    keep = [k for k in keep if k != text_col]
     picked = docs.select(F.col(id_col), *[F.col(k) for k in keep], F.col(text_col).cast("string").alias(text_col))
     n_kept = len(picked.columns) - 1
-    schema = T.StructType([*picked.schema.fields[:n_kept], *columns])
+    n_out = n_kept + with_text
+    schema = T.StructType([*picked.schema.fields[:n_out], *columns])
     types = [_arrow(c.dataType) for c in columns]
     names = [f.name for f in schema.fields]
 
@@ -50,7 +56,7 @@ def map_texts(
             for part in slices(whole, n_kept):
                 made = apply(part.column(n_kept).to_pylist())
                 arrays = [pa.array(values, kind) for values, kind in zip(made, types, strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:n_kept], *arrays], names=names)
+                yield pa.RecordBatch.from_arrays([*part.columns[:n_out], *arrays], names=names)
 
     return picked.mapInArrow(run, schema)
 

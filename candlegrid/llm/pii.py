@@ -261,8 +261,8 @@ def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join(out)
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", masked: bool = False) -> DataFrame:
-    """One row per row of docs: id, spans (array of kind, start, end in code points); with masked also the masked text.
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", masked: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of docs: id, what `keep` names, spans (array of kind, start, end in code points); with masked also the masked text.
 
     Base kinds are exactly the leftmost non-overlapping matches of their patterns. Null and empty texts have no
     spans; a null text stays null when masked; repeated rows and null ids each keep their row; other columns are
@@ -283,7 +283,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
 
         return apply
 
-    return map_texts(docs, make, columns, id_col, text_col)
+    return map_texts(docs, make, columns, id_col, text_col, keep)
 
 
 def span_digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
