@@ -172,13 +172,15 @@ def shown(cells: Column) -> Column:
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("a"), F.xxhash64(text, F.lit(1)).alias("b"), text.alias("text"))
+    # a and b together are a key of id and text, which are joined as plain numbers
+    own = F.coalesce(F.col(id_col).cast("string"), F.lit("\u0000null"))
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text, own).alias("a"), F.xxhash64(own, text).alias("b"), text.alias("text"))
 
 
 def successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row its successor by descending id: id, a, b, copies, next_id, next_a, next_b; after the last comes the first.
 
-    a and b are hashes of the text, which order rows with one id; null ids come last. Equal rows follow each other:
+    a and b are hashes of id and text, which order rows with one id; null ids come last. Equal rows follow each other:
     all but the last of them succeed themselves. Rows are dealt to ranges of the order, and the first of each range
     follows the last of the one before; only one row a range meets in one task.
     """
@@ -214,17 +216,17 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     chain = chain.select(F.col("id").alias("from_id"), F.col("a").alias("from_a"), F.col("b").alias("from_b"), "to.times", "to.id", "to.a", "to.b")
 
     rows = _keyed(docs, id_col, text_col)
-    texts = rows.dropDuplicates(["id", "a", "b"])
-    keys = ["id", "a", "b"]
-
-    def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-        return left[names[0]].eqNullSafe(right[keys[0]]) & (left[names[1]] == right[keys[1]]) & (left[names[2]] == right[keys[2]])
-
-    # what the successor lends: as much of its beginning as could be needed is cut where the length is known
-    sizes = rows.select("id", "a", "b", F.length("text").alias("n")).dropDuplicates(keys)
-    asked = chain.join(sizes, same(chain, sizes, ["from_id", "from_a", "from_b"])).select("from_id", "from_a", "from_b", "times", chain["id"], chain["a"], chain["b"], F.floor(F.col("n") / 3).cast("int").alias("m"))
-    lent = asked.join(texts, same(asked, texts, keys)).select("from_id", "from_a", "from_b", "times", "m", F.substring(F.col("text"), F.lit(1), F.col("m")).alias("lent"), paragraph_digests(F.col("text")).alias("d_next"))
-    both = lent.join(texts, same(lent, texts, ["from_id", "from_a", "from_b"])).select("id", "times", "text", "d_next", F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - F.col("m")), F.col("lent")).alias("edited"))
+    # met twice, by its successor's key and by its own, in one shuffle of the texts
+    texts = rows.select("a", "b", "text").dropDuplicates(["a", "b"])
+    sizes = rows.select("a", "b", F.length("text").alias("n")).dropDuplicates(["a", "b"])
+    sizes = sizes.select(F.col("a").alias("from_a"), F.col("b").alias("from_b"), F.floor(F.col("n") / 3).cast("int").alias("m"))
+
+    # what the successor lends: as much of its beginning as is needed, and its digests
+    asked = chain.join(sizes, ["from_a", "from_b"]).drop("id")
+    lent = asked.join(texts, ["a", "b"]).select(
+        F.col("from_id").alias("id"), F.col("from_a").alias("a"), F.col("from_b").alias("b"), "times", "m", F.substring(F.col("text"), F.lit(1), F.col("m")).alias("lent"), paragraph_digests(F.col("text")).alias("d_next")
+    )
+    both = lent.join(texts, ["a", "b"]).select("id", "times", "text", "d_next", F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - F.col("m")), F.col("lent")).alias("edited"))
     digested = both.select("id", "times", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), paragraph_digests(F.col("text")).alias("d"), paragraph_digests(F.col("edited")).alias("d_edited"), "d_next")
     cells = digested.select("*", sketch(signed(F.col("d"), 1), WIDTHS[0]).alias("s"), sketch(signed(F.col("d_edited"), 1), WIDTHS[0]).alias("s_edited"), sketch(signed(F.col("d_next"), 1), WIDTHS[0]).alias("s_next"))
 
