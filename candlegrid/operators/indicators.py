@@ -98,9 +98,20 @@ def window_columns(df: DataFrame, spec: IndicatorSpec) -> tuple[DataFrame, list[
         first[f"_mean_{n}"] = F.when(_warm(n), F.avg(close).over(_frame(n)))
         helpers.append(f"_mean_{n}")
 
+    for n in spec.sma:
+        first[f"SMA{n}"] = F.when(_warm(n), F.avg(close).over(_frame(n)))
+
     # _row and _priced are read by the others, so they come first
     out = _add(df, {c: first.pop(c) for c in (ROW, "_priced")})
     out = _add(out, first)
+    if spec.stoch:
+        n, k, d = spec.stoch
+        out = out.withColumn("_slow_k", F.when(_warm(n + k - 1), F.avg("_fast_k").over(_frame(k))))
+        warm = _warm(n + k + d - 2)
+        out = out.withColumns(
+            {"STOCH_slowk": F.when(warm, F.col("_slow_k")), "STOCH_slowd": F.when(warm, F.avg("_slow_k").over(_frame(d)))}
+        )
+        helpers.append("_slow_k")
     return out, helpers
 
 
@@ -120,13 +131,6 @@ def recursive_step(spec: IndicatorSpec):
         if spec.macd:
             out["MACD"], out["MACD_signal"] = rec.macd(s["Close"], *spec.macd)
             out["MACD_hist"] = out["MACD"] - out["MACD_signal"]
-        for n in spec.sma:
-            out[f"SMA{n}"] = rec.running_mean(s["Close"], n)
-        if spec.stoch:
-            n, k, d = spec.stoch
-            slow_k = rec.running_mean(s["_fast_k"], k, start=n - 1)
-            out["STOCH_slowd"] = rec.running_mean(slow_k, d, start=n + k - 2)
-            out["STOCH_slowk"] = np.where(np.isnan(out["STOCH_slowd"]), np.nan, slow_k)
         for n in _ema_lengths(spec):
             out[f"EMA{n}"] = rec.ema(s["Close"], n)
         for n in spec.force or ():
@@ -157,9 +161,6 @@ def recursive_fields(spec: IndicatorSpec) -> list[tuple[str, T.DataType]]:
         names.append("ATR")
     if spec.macd:
         names += ["MACD", "MACD_signal", "MACD_hist"]
-    names += [f"SMA{n}" for n in spec.sma]
-    if spec.stoch:
-        names += ["STOCH_slowk", "STOCH_slowd"]
     names += [f"EMA{n}" for n in _ema_lengths(spec)]
     names += [f"FI_{n}" for n in spec.force or ()]
     if spec.power:

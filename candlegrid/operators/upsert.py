@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PRICE_KEYS = ("Date", "ticker", "period")
+#: Calendar days of 150 years: no period can have more dates.
+MOST_DAYS = 55_000
 POLICIES = ("overwrite", "keep_old", "mark_inactive", "delete_tail_merge")
 
 
@@ -78,13 +80,22 @@ def tail_rows(
     return ranked.where(F.col("_rank") <= tail_n).drop("_rank")
 
 
+def first_of_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the greatest in the order of the other columns, so that equal inputs give equal tables."""
+    rest = [F.col(c).desc_nulls_last() for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*rest))
+    return df.withColumn("_copy", rank).where(F.col("_copy") == 1).drop("_copy")
+
+
 def _keep_old(
     old: DataFrame, new: DataFrame, keys: Sequence[str], tail_n: int, tail_keys: Sequence[str]
 ) -> DataFrame:
-    new = new.dropDuplicates(list(keys))
+    new = first_of_keys(new, keys)
     touched = new.select(*tail_keys).distinct()
     provisional = tail_rows(old.join(touched, list(tail_keys), "left_semi"), keys, tail_n, tail_keys)
-    kept = old.join(provisional, list(keys), "left_anti")
+    kept = first_of_keys(old.join(provisional, list(keys), "left_anti"), keys)
     added = new.join(kept.select(*keys), list(keys), "left_anti")
     return kept.unionByName(added, allowMissingColumns=True)
 
@@ -95,12 +106,18 @@ def doomed_rows(
     """Keys of old rows that ``delete_tail_merge`` deletes before it merges.
 
     The dates are those of any batch ticker of the same period, not only of the row's
-    own ticker. There are at most as many (period, Date) pairs as calendar days.
+    own ticker. There are at most as many (period, Date) pairs as calendar days; that bound
+    is checked as the query runs, and the pairs are sent to every task, so that the rows
+    of one day, which all tickers share, need not meet in one task.
     """
     pairs = new.select("ticker", "period").distinct()
     mine = old.select(*keys).join(pairs, ["ticker", "period"], "left_semi")
     dates = tail_rows(mine, keys, tail_n, ("ticker", "period")).select("period", "Date").distinct()
-    return mine.join(dates, ["period", "Date"], "left_semi")
+    # a set per period, of at most MOST_DAYS dates
+    sets = dates.groupBy("period").agg(F.collect_set("Date").alias("_days"))
+    few = F.when(F.size("_days") > MOST_DAYS, F.raise_error(F.lit("more dates than calendar days"))).otherwise(F.col("_days"))
+    bounded = sets.select("period", F.explode(few).alias("Date"))
+    return mine.join(F.broadcast(bounded), ["period", "Date"], "left_semi")
 
 
 def merge_report(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from candlegrid.config import PERIODS, Period
 from candlegrid.functions.calendar import within_years
-from candlegrid.operators.asof import asof_many, asof_within
+from candlegrid.operators.asof import asof_within
 
 SIDES = ("Side_1", "Side_2", "Side_3")
 
@@ -29,13 +29,12 @@ def without_latest_day(daily: DataFrame) -> DataFrame:
 
 
 def asof_period(prices: DataFrame, p: Period, as_of: Column, years: int = 2) -> DataFrame:
-    """Daily rows with the latest bar of one slower period."""
-    matched = asof_many(
-        daily_slice(prices, as_of, years),
-        prices.where(F.col("period") == p.code),
-        {p.code: p.tolerance_days},
-        SIDES,
+    """Daily rows with the latest bar of one slower period. ``prices`` is read once."""
+    daily = F.col("period") == "D"
+    rows = prices.select("ticker", "Date", "period", *SIDES).where(
+        (F.col("period") == p.code) | (daily & within_years(F.col("Date"), as_of, years))
     )
+    matched = asof_within(rows, daily, {p.code: p.tolerance_days}, SIDES)
     found = F.col(p.code)
     return matched.select(
         "ticker",

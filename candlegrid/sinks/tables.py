@@ -11,25 +11,33 @@ from pyspark.sql import types as T
 from candlegrid.sources.tables import _hadoop_path
 
 VERSION = "version="
+CLAIM = "_claim="
 
 
 def date_first(df: DataFrame, column: str = "Date") -> DataFrame:
     return df.select(F.to_date(column).alias(column), *(c for c in df.columns if c != column))
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), whole: bool = False
+) -> None:
     """Overwrite a snappy Parquet table.
 
-    With ``partition_by`` only the partitions in ``df`` are replaced, and rows are brought
-    together by partition first, so that a partition is written as few files.
+    With ``partition_by`` only the partitions in ``df`` are replaced, unless ``whole``, and rows
+    are brought together by partition first, so that a partition is written as few files.
+    ``sort_by`` orders rows within files, so that reads by those columns skip row groups.
     """
     writer = df
     if partition_by:
         # REBALANCE splits a partition that is too large for one file and joins small ones
         writer = df.hint("rebalance", *(F.col(c) for c in partition_by))
+    if sort_by:
+        writer = writer.sortWithinPartitions(*partition_by, *sort_by)
     out = writer.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
-        out = out.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+        # only a static overwrite leaves the marker of a finished job
+        mode = "static" if whole else "dynamic"
+        out = out.option("partitionOverwriteMode", mode).partitionBy(*partition_by)
     out.parquet(path)
 
 
@@ -60,28 +68,58 @@ def read_current(spark: SparkSession, path: str, schema: T.StructType | None = N
     return (spark.read if schema is None else spark.read.schema(schema)).parquet(at)
 
 
+def _claim(spark: SparkSession, path: str) -> int:
+    """The number of the next version, held by a marker that only one writer can create."""
+    fs, root = _hadoop_path(spark, path)
+    fs.mkdirs(root)
+    taken = [int(s.getPath().getName()[len(CLAIM) :]) for s in fs.listStatus(root) if s.getPath().getName().startswith(CLAIM)]
+    known = [v for v, _ in _versions(spark, path)]
+    following = max([0, *known]) + 1
+    if following in taken:
+        raise FileExistsError(f"version {following} of {path} is being written; remove {CLAIM}{following:08d} if its writer was lost")
+    fs.create(spark._jvm.org.apache.hadoop.fs.Path(root, f"{CLAIM}{following:08d}"), False).close()
+    return following
+
+
 def staged_update(
     spark: SparkSession,
     path: str,
-    update: Callable[[DataFrame | None], DataFrame],
+    update: Callable[..., DataFrame],
     partition_by: Sequence[str] = (),
     keep: int = 2,
     schema: T.StructType | None = None,
+    batch: DataFrame | None = None,
+    sort_by: Sequence[str] = (),
 ) -> str:
     """Write ``update(current table)`` as the next version; returns its path.
 
     A table cannot be overwritten while it is read, so each update writes a fresh
     version. The marker that a finished job leaves makes it current; a job lost half-way
-    leaves nothing current behind. Older versions beyond ``keep`` are removed.
+    leaves nothing current behind. Older versions beyond ``keep`` are removed. Of two
+    writers of one version the second fails.
+
+    With ``batch`` the batch is written once beside the table and ``update`` gets
+    (current table, stored batch): a merge reads its batch several times, and would
+    compute it as often.
     """
-    known = _versions(spark, path)
-    following = known[-1][0] + 1 if known else 1
-    target = f"{path}/{VERSION}{following:08d}"
-    write_table(update(read_current(spark, path, schema)), target, partition_by)
+    fs, root = _hadoop_path(spark, path)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    following = _claim(spark, path)
+    target, beside = f"{path}/{VERSION}{following:08d}", f"{path}/batch={following:08d}"
+    try:
+        old = read_current(spark, path, schema)
+        if batch is None:
+            merged = update(old)
+        else:
+            write_table(batch, beside)
+            merged = update(old, spark.read.schema(batch.schema).parquet(beside))
+        write_table(merged, target, partition_by, sort_by, whole=True)
+    finally:
+        fs.delete(path_of(beside), True)
+        fs.delete(path_of(root, f"{CLAIM}{following:08d}"), False)
     done = [v for v, complete in _versions(spark, path) if complete]
-    fs, _ = _hadoop_path(spark, path)
     for v in done[: -max(keep, 1)]:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION}{v:08d}"), True)
+        fs.delete(path_of(f"{path}/{VERSION}{v:08d}"), True)
     return target
 
 

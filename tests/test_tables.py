@@ -170,7 +170,7 @@ def test_changed_files_only(spark, tmp_path):
         file = tmp_path / f"{stem}.parquet"
         pq.write_table(pa.table({"x": [1]}), file)
         os.utime(file, (when.timestamp(), when.timestamp()))
-    got = read_changed_files(spark, str(tmp_path), dt.date(2024, 3, 5)).collect()
+    got = read_changed_files(spark, str(tmp_path), dt.date(2024, 3, 5), "Asia/Taipei", ("final_all", "conclusion")).collect()
     assert [(r["x"], r["file_stem"], r["file_period"]) for r in got] == [(1, "us_2W", "2W")]
 
 
@@ -189,3 +189,72 @@ def test_export_orders_and_spells_out_missing(spark, tmp_path):
     assert [tuple(r) for r in out] == [
         ("C", "2024-01-03", "None"), ("A", "2024-01-02", "Long"), ("B", "2024-01-02", "None"),
     ]
+
+
+def _rows(*rows):
+    return [(day(d), t, p, c) for d, t, p, c in rows]
+
+
+def test_staged_updates_of_a_partitioned_table_keep_old_rows(spark, tmp_path):
+    path = str(tmp_path / "prices")
+    batches = [_rows((1, "A", "D", 1.0), (1, "A", "W", 1.0)), _rows((1, "B", "D", 2.0)), _rows((1, "A", "W", 3.0))]
+    for rows in batches:
+        batch = spark.createDataFrame(rows, PRICE)
+        staged_update(
+            spark, path, lambda old, new: upsert(old, new, KEYS), ["period"], batch=batch, sort_by=("ticker", "Date")
+        )
+    got = sorted((r["ticker"], r["period"], r["Close"]) for r in read_current(spark, path).collect())
+    assert got == [("A", "D", 1.0), ("A", "W", 3.0), ("B", "D", 2.0)]
+    assert sorted(p.name for p in (tmp_path / "prices").iterdir() if not p.name.startswith(".")) == [
+        "version=00000002", "version=00000003",
+    ]
+
+
+def test_a_merge_computes_its_batch_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    for policy in ("overwrite", "keep_old", "delete_tail_merge"):
+        path = str(tmp_path / policy)
+        staged_update(spark, path, lambda old: spark.createDataFrame(_rows((1, "A", "D", 1.0)), PRICE))
+        new = spark.createDataFrame(_rows((2, "A", "D", 1.0), (3, "B", "D", 1.0)), PRICE)
+        before = seen.value
+        staged_update(
+            spark, path, lambda old, new, policy=policy: upsert(old, new, KEYS, policy), batch=new.mapInArrow(count, new.schema)
+        )
+        assert seen.value - before == 2, policy
+
+
+def test_the_second_writer_of_a_version_fails(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame(_rows((1, "A", "D", 1.0)), PRICE)
+
+    def update(old):
+        with pytest.raises(FileExistsError):
+            staged_update(spark, path, lambda _: rows)
+        return rows
+
+    staged_update(spark, path, update)
+    assert read_current(spark, path).count() == 1
+
+
+def test_exclusion_looks_below_the_root(spark, tmp_path):
+    root = tmp_path / "conclusion_lake"
+    spark.createDataFrame([(1,)], "x int").coalesce(1).write.parquet(str(root / "prices"))
+    spark.createDataFrame([(2,)], "x int").coalesce(1).write.parquet(str(root / "conclusion"))
+    today = dt.datetime.now(ZoneInfo("UTC")).date()
+    got = read_changed_files(spark, str(root), today, "UTC", ("conclusion",)).collect()
+    assert [r["x"] for r in got] == [1]
+
+
+def test_keep_old_leaves_one_row_a_key(spark):
+    old = spark.createDataFrame(
+        _rows((1, "A", "D", 1.0), (1, "A", "D", 5.0), (2, "A", "D", 1.0), (3, "A", "D", 1.0), (1, "Z", "D", 2.0), (1, "Z", "D", 3.0)), PRICE
+    )
+    new = spark.createDataFrame(_rows((4, "A", "D", 7.0), (4, "A", "D", 8.0), (1, "A", "D", 9.0)), PRICE)
+    got = sorted((r["Date"], r["ticker"], r["Close"]) for r in upsert(old, new, KEYS, "keep_old").collect())
+    assert got == [(day(1), "A", 5.0), (day(1), "Z", 3.0), (day(4), "A", 8.0)]

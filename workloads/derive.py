@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-from functools import cache
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlegrid.config import PERIODS, Period
 from candlegrid.plans.gold import period_series
 from candlegrid.schemas import PRICE_COLUMNS
 
@@ -87,34 +84,14 @@ def all_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return period_series(bars(spark, sf_dir))
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once and read back, for inputs that stand for stored tables.
-
-    Written to the shared folder the session names in spark.checkpoint.dir; a folder of our
-    own, removed at exit, only where none is named.
-    """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
-    path = f"{folder}/derived-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
-@cache
-def _own_folder() -> str:
-    folder = tempfile.mkdtemp(prefix="candlegrid-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
-
-
-def gold_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All periods with three simple sides, to exercise the as-of join on its own."""
+def gold_sides(spark: SparkSession, sf_dir: str, periods: Iterable[Period] = PERIODS) -> DataFrame:
+    """Periods with three simple sides, to exercise the as-of join on its own."""
     o, c = F.col("Open"), F.col("Close")
 
     def side(up: Column, down: Column) -> Column:
         return F.when(up, "Long").when(down, "Short")
 
-    return all_periods(spark, sf_dir).select(
+    return period_series(bars(spark, sf_dir), periods).select(
         "ticker",
         "Date",
         "period",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from candlegrid.config import PERIODS
-from candlegrid.operators.screen import RULES
 from workloads.derive import BREAKS, LISTED, MISSING, PROFILE
 
 TRADES = """
@@ -32,8 +30,8 @@ _COMPLETE = " AND ".join(
     f'"{c}" IS NOT NULL AND NOT isnan("{c}")' for c in ("Open", "High", "Low", "Close", "Adj Close", "Volume")
 )
 
-_UNITS = {"day": "d", "week": "w", "month": "m"}
-_PERIOD_ROWS = ", ".join(f"('{p.code}', '{_UNITS[p.unit]}', {p.n})" for p in PERIODS)
+# Periods with their unit and number.
+_PERIOD_ROWS = "('D', 'd', 1), ('W', 'w', 1), ('2W', 'w', 2), ('3W', 'w', 3), ('ME', 'm', 1), ('2ME', 'm', 2), ('3ME', 'm', 3)"
 SERIES = (
     BARS
     + f""",
@@ -379,34 +377,46 @@ last_day_seen AS (SELECT CAST(max(l_shipdate) AS DATE) AS as_of FROM lineitem),
 d AS (SELECT sides.* FROM sides, last_day_seen WHERE period = 'D' AND "Date" >= as_of - INTERVAL 24 MONTH)"""
 
 
-def _lateral(code: str, days: int, alias: str) -> str:
+# Look-ahead days and column suffix of each slower period, written out here so
+# that a change in the library shows.
+_SLOW = {"W": (8, "W"), "2W": (15, "2W"), "3W": (22, "3W"), "ME": (32, "ME"), "2ME": (63, "2M"), "3ME": (93, "3M")}
+_SHIFTED = f"""
+usable AS (
+  SELECT ticker, period, "Date" AS bar_day, "Side_1" AS s1, "Side_2" AS s2, "Side_3" AS s3,
+         "Date" - CASE period {" ".join(f"WHEN '{c}' THEN {days}" for c, (days, _) in _SLOW.items())} END AS usable_from
+  FROM sides WHERE period <> 'D'
+)"""
+
+
+def _asof(code: str) -> str:
+    name = f"p_{code.lower()}"
     return f"""
-LEFT JOIN LATERAL (
-  SELECT "Date", "Side_1", "Side_2", "Side_3" FROM sides x
-  WHERE x.period = '{code}' AND x.ticker = d.ticker AND x."Date" <= d."Date" + {days}
-  ORDER BY x."Date" DESC LIMIT 1
-) {alias} ON TRUE"""
+ASOF LEFT JOIN (SELECT * FROM usable WHERE period = '{code}') {name}
+  ON d.ticker = {name}.ticker AND d."Date" >= {name}.usable_from"""
 
 
 def asof_sql(code: str) -> str:
-    p = next(p for p in PERIODS if p.code == code)
-    sides = ", ".join(f'a."{s}" AS "{s}_{p.suffix}"' for s in ("Side_1", "Side_2", "Side_3"))
-    return f"""WITH {TOY}, {_DAY_SLICE}
-SELECT d.ticker, d."Date" AS "Date_D", a."Date" AS "Date_{p.suffix}", {sides}
-FROM d {_lateral(code, p.tolerance_days, "a")}"""
+    _, suffix = _SLOW[code]
+    name = f"p_{code.lower()}"
+    sides = ", ".join(f'{name}.s{i} AS "Side_{i}_{suffix}"' for i in (1, 2, 3))
+    return f"""WITH {TOY}, {_DAY_SLICE}, {_SHIFTED}
+SELECT d.ticker, d."Date" AS "Date_D", {name}.bar_day AS "Date_{suffix}", {sides}
+FROM d {_asof(code)}"""
 
 
 def conclusion_body(sides_ctes: str, recursive: bool = False) -> str:
-    slow = [p for p in PERIODS if p.unit != "day"]
-    columns = ['d.ticker', 'd."Date" AS "Date_D"']
-    columns += [f'a{i}."Date" AS "Date_{p.suffix}"' for i, p in enumerate(slow)]
-    for s in ("Side_1", "Side_2", "Side_3"):
-        columns.append(f'd."{s}" AS "{s}_D"')
-        columns += [f'a{i}."{s}" AS "{s}_{p.suffix}"' for i, p in enumerate(slow)]
-    joins = "".join(_lateral(p.code, p.tolerance_days, f"a{i}") for i, p in enumerate(slow))
-    return f"""WITH {"RECURSIVE " if recursive else ""}{sides_ctes}, {_DAY_SLICE},
-joined AS (SELECT {", ".join(columns)}, max(d."Date") OVER (PARTITION BY d.ticker) AS newest FROM d {joins}),
-conclusion AS (SELECT * EXCLUDE (newest) FROM joined WHERE "Date_D" < newest)"""
+    shown = ['d.ticker', 'd."Date" AS "Date_D"']
+    shown += [f'p_{c.lower()}.bar_day AS "Date_{suffix}"' for c, (_, suffix) in _SLOW.items()]
+    for i in (1, 2, 3):
+        shown.append(f'd."Side_{i}" AS "Side_{i}_D"')
+        shown += [f'p_{c.lower()}.s{i} AS "Side_{i}_{suffix}"' for c, (_, suffix) in _SLOW.items()]
+    return f"""WITH {"RECURSIVE " if recursive else ""}{sides_ctes}, {_DAY_SLICE}, {_SHIFTED},
+last_days AS (SELECT ticker, max("Date") AS last_day FROM d GROUP BY ticker),
+conclusion AS (
+  SELECT {", ".join(shown)}
+  FROM d {"".join(map(_asof, _SLOW))}
+  JOIN last_days ON d.ticker = last_days.ticker AND d."Date" < last_days.last_day
+)"""
 
 
 # --- fundamentals -----------------------------------------------------------------------
@@ -460,17 +470,29 @@ normal AS (
 )
 
 
-def _rule(conditions: tuple[str, ...]) -> str:
-    import re
-
-    return " AND ".join(f"({re.sub(r'([0-9.]+)D', r'\1', c)})" for c in conditions)
-
+# The screen's labels, thresholds and tickers, written out here so that a change in
+# the library shows.
+_SCREEN = """CASE
+  WHEN market_cap >= 1000000000 AND price_to_sales BETWEEN 2 AND 10 AND roe > 0.05 AND roe <= 0.25
+    AND current_ratio >= 2.5 AND debt_to_equity <= 10 AND roa_ttm > 0 AND eps_ttm > 0 AND operating_cash_flow > 0
+    AND institutional_pct >= 0.4 AND institutional_pct < 0.95 AND analyst_rating_mean <= 3 THEN 'HighGrowth'
+  WHEN market_cap >= 400000000 AND price_to_sales BETWEEN 2 AND 7 AND roe > 0.15 AND roe <= 0.25
+    AND current_ratio >= 2 AND debt_to_equity <= 10 AND roa_ttm > 0 AND eps_ttm > 0 AND operating_cash_flow > 0
+    AND current_price >= 15 AND annual_revenue >= 50000000
+    AND institutional_pct >= 0.4 AND institutional_pct < 0.95 AND analyst_rating_mean <= 2 THEN 'SteadyGrowth'
+  WHEN price_to_sales <= 1.5 AND roe > 0.15 AND roe <= 0.25 AND current_ratio >= 1.1 AND debt_to_equity <= 50
+    AND roa_ttm > 0 AND eps_ttm > 0 AND current_price > 0 AND annual_revenue >= 50000000 AND avg_daily_volume_3m >= 50000
+    AND institutional_pct >= 0.4 AND institutional_pct < 0.95 AND analyst_rating_mean >= 3 THEN 'Distressed'
+  WHEN change_52w >= 3 AND high_52w_ratio >= 0.9 AND current_price >= 15 AND avg_daily_volume_3m >= 50000
+    AND institutional_pct >= 0.4 AND institutional_pct < 0.95 AND analyst_rating_mean <= 2
+    AND analyst_rating_key IS NOT NULL THEN 'Super'
+  WHEN ticker IN ('AAPL', 'MSFT', 'GOOGL', 'AMZN', 'NVDA', 'META', 'TSLA', 'NFLX') THEN 'Magnificent_8'
+  WHEN ticker IN ('QQQ', 'SPY', 'DIA') THEN 'ETF_1'
+END"""
 
 SCREENED = (
     NORMALISED
     + f""",
-screened AS (
-  SELECT * FROM (SELECT created_at, ticker, CASE {" ".join(f"WHEN {_rule(c)} THEN '{n}'" for n, c in RULES)} END AS is_selected FROM normal)
-  WHERE is_selected IS NOT NULL
-)"""
+labelled AS (SELECT created_at, ticker, {_SCREEN} AS is_selected FROM normal),
+screened AS (SELECT * FROM labelled WHERE is_selected IS NOT NULL)"""
 )

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlegrid.config import PERIODS, period
+from candlegrid.config import PERIODS, IndicatorSpec, PeriodConfig, period
 from candlegrid.functions.calendar import local_date
 from candlegrid.functions.numeric import truncate
 from candlegrid.operators.clean import clean_bars, clean_report
@@ -98,14 +99,31 @@ def _(spark, sf):
 
 
 # --- indicators and signals, over all seven periods -----------------------------------------
-def _indicator_query(columns: tuple[str, ...], digits: int) -> Query:
+def _indicator_query(columns: tuple[str, ...], digits: int, spec: IndicatorSpec) -> Query:
     def run(spark, sf):
-        out = indicators(period_series(derive.bars(spark, sf)))
+        series = period_series(derive.bars(spark, sf)).select("ticker", "period", "Date", "High", "Low", "Close", "Volume")
+        out = indicators(series, spec)
         return out.select("ticker", "period", "Date", *(F.round(c, digits).alias(c) for c in columns))
 
     return run
 
 
+# what each query asks for; nothing else is computed
+_FULL = IndicatorSpec()
+INDICATOR_SPECS: dict[str, dict] = {
+    "sma": {"sma": _FULL.sma},
+    "willr": {"willr": _FULL.willr},
+    "stoch": {"stoch": _FULL.stoch},
+    "ema": {"ema": _FULL.ema},
+    "macd": {"macd": _FULL.macd},
+    "atr": {"atr": _FULL.atr},
+    "di": {"di": _FULL.di},
+    "adx": {"adx": _FULL.adx},
+    "force_index": {"force": _FULL.force},
+    "bull_bear": {"power": _FULL.power},
+    "bbands": {"bands": _FULL.bands},
+    "bbands_17": {"inner_bands": _FULL.inner_bands},
+}
 # name -> columns, decimals compared; six where means of cents fall on the half of four
 INDICATOR_GROUPS: dict[str, tuple[tuple[str, ...], int]] = {
     "sma": (("SMA50", "SMA200"), 6),
@@ -122,7 +140,9 @@ INDICATOR_GROUPS: dict[str, tuple[tuple[str, ...], int]] = {
     "bbands_17": (("upper_1_7", "lower_1_7"), 4),
 }
 for _name, (_columns, _digits) in INDICATOR_GROUPS.items():
-    register(_name, o.indicator_sql(_columns, _digits))(_indicator_query(_columns, _digits))
+    register(_name, o.indicator_sql(_columns, _digits))(
+        _indicator_query(_columns, _digits, replace(IndicatorSpec.none(), **INDICATOR_SPECS[_name]))
+    )
 
 
 def _shape(c: str) -> Column:
@@ -132,9 +152,20 @@ def _shape(c: str) -> Column:
     return F.col(c).cast("double").alias(c) if c == "price_search" else F.col(c)
 
 
+#: Signals lean on averages, momentum, force and power; the other indicators aren't computed for them.
+FOR_SIGNALS = PeriodConfig(
+    IndicatorSpec(adx=None, di=None, stoch=None, willr=None, bands=None, inner_bands=None, sma=())
+)
+
+
+def _signals(spark: SparkSession, sf: str) -> DataFrame:
+    series = period_series(derive.bars(spark, sf)).select("ticker", "period", "Date", "High", "Low", "Close", "Volume")
+    return analyse(series, FOR_SIGNALS)
+
+
 def _signal_query(columns: tuple[str, ...]) -> Query:
     def run(spark, sf):
-        out = analyse(period_series(derive.bars(spark, sf)))
+        out = _signals(spark, sf)
         return out.select("ticker", "period", "Date", *(_shape(c) for c in columns))
 
     return run
@@ -184,7 +215,7 @@ def _(spark, sf):
 # --- as-of and conclusion -------------------------------------------------------------------
 def _asof_query(code: str) -> Query:
     def run(spark, sf):
-        return asof_period(derive.gold_sides(spark, sf), period(code), derive.bars_as_of(spark, sf))
+        return asof_period(derive.gold_sides(spark, sf, [PERIODS[0], period(code)]), period(code), derive.bars_as_of(spark, sf))
 
     return run
 
@@ -194,7 +225,7 @@ for _p in PERIODS[1:]:
 
 
 def real_sides(spark: SparkSession, sf: str) -> DataFrame:
-    out = analyse(period_series(derive.bars(spark, sf)))
+    out = _signals(spark, sf)
     return out.select("ticker", "Date", "period", "Side_1", "Side_2", "Side_3")
 
 
@@ -317,8 +348,8 @@ def _(spark, sf):
 
 @register(
     "upsert_symbols",
-    f"""WITH {_SYMBOLS} SELECT cik, ticker, title, last_updated, false AS is_active FROM old_symbols
-    WHERE (cik, ticker) NOT IN (SELECT (cik, ticker) FROM new_symbols) UNION ALL SELECT * FROM new_symbols""",
+    f"""WITH {_SYMBOLS} SELECT * FROM new_symbols UNION ALL
+    SELECT cik, ticker, title, last_updated, false FROM old_symbols ANTI JOIN new_symbols USING (cik, ticker)""",
 )
 def _(spark, sf):
     merged = upsert(
@@ -353,8 +384,8 @@ fund_new AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN created_at ELSE DATE '2001-
 
 @register(
     "upsert_fundamentals",
-    f"""WITH {_FUND} SELECT * FROM fund_old WHERE (created_at, ticker) NOT IN (SELECT (created_at, ticker) FROM fund_new)
-    UNION ALL SELECT * FROM fund_new""",
+    f"""WITH {_FUND} SELECT * FROM fund_new
+    UNION ALL SELECT * FROM fund_old ANTI JOIN fund_new USING (created_at, ticker)""",
 )
 def _(spark, sf):
     old, new = _fund_old_new(spark, sf)
@@ -367,8 +398,7 @@ def _(spark, sf):
     new_screen AS (SELECT * FROM screened),
     old_screen AS (SELECT CASE WHEN length(ticker) % 2 = 0 OR right(ticker, 1) < '5' THEN created_at ELSE created_at - 14 END AS created_at,
       ticker, 'Super' AS is_selected FROM screened)
-    SELECT * FROM old_screen WHERE (created_at, ticker) NOT IN (SELECT (created_at, ticker) FROM new_screen)
-    UNION ALL SELECT * FROM new_screen""",
+    SELECT * FROM new_screen UNION ALL SELECT * FROM old_screen ANTI JOIN new_screen USING (created_at, ticker)""",
 )
 def _(spark, sf):
     new = screen(_normal(spark, sf))
@@ -383,7 +413,7 @@ def _(spark, sf):
 
 def _prices_old_new(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     number = F.substr("ticker", F.lit(2)).cast("bigint")
-    full = derive.stored(derive.all_periods(spark, sf).select("Date", "ticker", "period", "Close", "Volume"))
+    full = derive.all_periods(spark, sf).select("Date", "ticker", "period", "Close", "Volume")
     cut: Column = F.date_sub(derive.bars_as_of(spark, sf), 30)
     old = full.where(F.col("Date") <= cut).withColumn(
         "Close", F.when(number % 10 == 0, F.col("Close") * 2).otherwise(F.col("Close"))
@@ -399,15 +429,19 @@ price_new AS (SELECT "Date", ticker, period, "Close", "Volume" FROM numbered WHE
 _KEYS = ("Date", "ticker", "period")
 
 
+def _keep_old_ctes(partition: str, ties: str) -> str:
+    return f"""{_PRICES},
+    touched AS (SELECT DISTINCT ticker FROM price_new),
+    provisional AS (SELECT "Date", ticker, period FROM price_old SEMI JOIN touched USING (ticker)
+      QUALIFY row_number() OVER (PARTITION BY {partition} ORDER BY "Date" DESC{ties}) <= 2),
+    survivors AS (SELECT * FROM price_old ANTI JOIN provisional USING ("Date", ticker, period)),
+    fresh AS (SELECT * FROM price_new ANTI JOIN survivors USING ("Date", ticker, period)),
+    final AS (SELECT "Date", ticker, period, "Close", "Volume" FROM survivors
+      UNION ALL SELECT "Date", ticker, period, "Close", "Volume" FROM fresh)"""
+
+
 def _keep_old_sql(partition: str, ties: str) -> str:
-    return f"""WITH {_PRICES},
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY {partition} ORDER BY "Date" DESC{ties}) AS rn FROM price_old),
-    merged_rows AS (
-      SELECT "Date", ticker, period, "Close", "Volume", 1 AS pr FROM ranked
-      WHERE ticker NOT IN (SELECT ticker FROM price_new) OR rn > 2
-      UNION ALL SELECT *, 2 FROM price_new)
-    SELECT "Date", ticker, period, "Close", "Volume" FROM merged_rows
-    QUALIFY row_number() OVER (PARTITION BY "Date", ticker, period ORDER BY pr) = 1"""
+    return f"WITH {_keep_old_ctes(partition, ties)} SELECT * FROM final"
 
 
 @register("upsert_prices_keep_old", _keep_old_sql("ticker", ", period DESC"))
@@ -454,7 +488,7 @@ def _(spark, sf):
 
 @register(
     "union_report",
-    f"""{_keep_old_sql("ticker", ", period DESC").replace('SELECT "Date", ticker, period, "Close", "Volume" FROM merged_rows', ', final AS (SELECT * FROM merged_rows')})
+    f"""WITH {_keep_old_ctes("ticker", ", period DESC")}
     SELECT period, count(*) AS rows FROM final GROUP BY ROLLUP (period)""",
 )
 def _(spark, sf):
@@ -466,7 +500,7 @@ def _(spark, sf):
 _INGEST = f"""{o.BARS},
 expected AS (SELECT printf('S%05d', s_suppkey) AS ticker, s_suppkey % 2 = 0 AS later FROM supplier
   UNION ALL SELECT 'TSLAp', false UNION ALL SELECT 'LATER', true),
-counted AS (SELECT ticker, count(*) AS bars FROM bars WHERE "Date" >= DATE '2001-10-25' GROUP BY ticker),
+counted AS (SELECT ticker, count(*) AS bars FROM bars GROUP BY ticker),
 outcome AS (SELECT ticker, coalesce(bars, 0) AS bars, CASE WHEN bars > 0 THEN 'success' WHEN later THEN 'retry' ELSE 'failed' END AS status
   FROM expected LEFT JOIN counted USING (ticker))"""
 
@@ -477,8 +511,7 @@ def _outcome(spark: SparkSession, sf: str) -> DataFrame:
     )
     extra = spark.createDataFrame([("TSLAp", False), ("LATER", True)], "ticker string, rate_limited boolean")
     expected = suppliers.unionByName(extra)
-    arrived = derive.bars(spark, sf).where(F.col("Date") >= "2001-10-25")
-    return reports.ingest_outcome(expected, arrived, expected)
+    return reports.ingest_outcome(expected, derive.bars(spark, sf), expected)
 
 
 @register("ingest_outcome", f"WITH {_INGEST} SELECT * FROM outcome")
@@ -491,13 +524,26 @@ def _(spark, sf):
     return reports.ingest_summary(_outcome(spark, sf))
 
 
-@register("incremental_files")
+_FILES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
+
+
+@register(
+    "incremental_files", " UNION ALL ".join(f"SELECT '{t}' AS file_stem, count(*) AS rows FROM {t}" for t in _FILES)
+)
 def _(spark, sf):
-    """Rows per changed file, for the day on which the lineitem file was last changed."""
-    stamp = spark.read.parquet(f"{sf}/lineitem.parquet").select(
-        F.max(local_date(F.col("_metadata.file_modification_time"), "Asia/Taipei")).alias("d")
-    )
-    day = stamp.first()["d"]
-    files = [f"{sf}/{t}.parquet" for t in ("lineitem",)]
-    changed = read_changed_files(spark, files, day)
-    return changed.groupBy("file_stem").agg(F.count("*").alias("rows"))
+    """Rows per changed file, over all days on which a table was last changed."""
+    at = [f"{sf}/{t}.parquet" for t in _FILES]
+    zone = "UTC"
+    stamp = F.col("_metadata.file_modification_time")
+    newest = [spark.read.parquet(p).select(local_date(stamp, zone).alias("day")) for p in at]
+    days = sorted({r["day"] for f in newest for r in f.distinct().collect()})
+    out = None
+    for day in days:
+        # the tables have no columns in common, so each is read by itself
+        for path in at:
+            changed = read_changed_files(spark, path, day, zone).select("file_stem")
+            out = changed if out is None else out.unionByName(changed)
+    return out.groupBy("file_stem").agg(F.count("*").alias("rows"))
