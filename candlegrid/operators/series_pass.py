@@ -21,8 +21,16 @@ ROW = "_row"
 
 
 def row_in_series() -> Column:
-    """1-based row of a series in date order. Its window also lays the series out for a pass."""
-    return F.row_number().over(Window.partitionBy(*SERIES).orderBy("Date"))
+    """1-based row of a series in date order. Its window also lays the series out for a pass.
+
+    A series that repeats a day is refused as the query runs: a day a row is what bounds a
+    series, and with two rows of a day their order would be chance. ``last_bar_per_day``
+    thins such a source before anything is shuffled.
+    """
+    ordered = Window.partitionBy(*SERIES).orderBy("Date")
+    repeated = F.lag("Date").over(ordered) == F.col("Date")
+    message = F.lit("a series repeats a day; see last_bar_per_day")
+    return F.when(repeated, F.raise_error(message).cast("int")).otherwise(F.row_number().over(ordered))
 
 
 class Series(Mapping):

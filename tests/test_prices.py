@@ -1,6 +1,7 @@
 """Cleaning, resampling, the series pass and the as-of join against pandas and brute force."""
 
 import datetime as dt
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -192,3 +193,17 @@ def test_one_exchange_feeds_daily_and_slow_periods(spark, bars):
     exchanges = [line for line in plan.splitlines() if "Exchange" in line]
     assert sum("ReusedExchange" in line for line in exchanges) == 1
     assert len(exchanges) == 2
+
+
+def test_a_series_that_repeats_a_day_is_refused(spark):
+    rows = [(dt.date(2024, 1, d), "A", "D", 2.0, 1.0, 1.5, 10.0) for d in (1, 2, 2)]
+    series = spark.createDataFrame(rows, "Date date, ticker string, period string, High double, Low double, Close double, Volume double")
+    with pytest.raises(Exception, match="repeats a day"):
+        indicators(series, replace(IndicatorSpec.none(), sma=(2,))).collect()
+
+
+def test_averages_and_stochastic_need_no_python(spark):
+    series = spark.createDataFrame([], "Date date, ticker string, period string, High double, Low double, Close double, Volume double")
+    spec = replace(IndicatorSpec.none(), sma=(50, 200), stoch=(5, 3, 3), willr=7)
+    plan = indicators(series, spec)._jdf.queryExecution().executedPlan().toString()
+    assert "InArrow" not in plan and "Window" in plan

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from candlegrid.config import PERIODS, IndicatorSpec, PeriodConfig, period
 from candlegrid.functions.calendar import local_date
 from candlegrid.functions.numeric import truncate
-from candlegrid.operators.clean import clean_bars, clean_report
+from candlegrid.operators.clean import clean_bars, clean_report, last_bar_per_day
 from candlegrid.operators.indicators import indicators
 from candlegrid.operators.resample import resample
 from candlegrid.operators.screen import screen
@@ -98,6 +98,28 @@ def _(spark, sf):
     )
 
 
+_LINES = """SELECT printf('S%05d', l_suppkey) AS ticker, CAST(l_shipdate AS DATE) AS "Date", l_extendedprice AS "Close",
+    l_orderkey AS created_at, l_linenumber AS line, l_quantity AS quantity FROM lineitem"""
+
+
+@register(
+    "last_bar_per_day",
+    f"""WITH lines AS ({_LINES}) SELECT ticker, "Date", "Close", created_at, line, quantity FROM lines
+    QUALIFY row_number() OVER (PARTITION BY ticker, "Date" ORDER BY created_at DESC, "Close" DESC, line DESC, quantity DESC) = 1""",
+)
+def _(spark, sf):
+    """A source that repeats days: every line item is a bar, the order it belongs to its stamp."""
+    lines = derive.table(spark, sf, "lineitem").select(
+        F.format_string("S%05d", "l_suppkey").alias("ticker"),
+        F.to_date("l_shipdate").alias("Date"),
+        F.col("l_extendedprice").alias("Close"),
+        F.col("l_orderkey").alias("created_at"),
+        F.col("l_linenumber").alias("line"),
+        F.col("l_quantity").alias("quantity"),
+    )
+    return last_bar_per_day(lines)
+
+
 # --- indicators and signals, over all seven periods -----------------------------------------
 def _indicator_query(columns: tuple[str, ...], digits: int, spec: IndicatorSpec) -> Query:
     def run(spark, sf):
