@@ -77,4 +77,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm_scoring": op10_lm_scoring,
 }
 
-SQL: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP2 = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+runs AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS run FROM w, unnest(range(1, len(ws) - 11)) AS t(i)),
+earliest AS (SELECT run, min(doc_id) AS first_doc FROM runs GROUP BY run),
+gone AS (SELECT DISTINCT doc_id, p FROM runs JOIN earliest USING (run), unnest(range(i, i + 13)) AS u(p) WHERE first_doc < doc_id),
+places AS (SELECT doc_id, p, ws[p] AS word FROM w, unnest(range(1, len(ws) + 1)) AS u(p)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS words FROM places ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+
+_CUT = r"regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_OP9 = rf"""
+WITH w AS (SELECT doc_id, {_CUT} AS ws FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_CUT} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+phrases AS (SELECT DISTINCT item, s, array_to_string(ws[i : i + s - 1], ' ') AS phrase
+  FROM (SELECT *, least(10, len(ws)) AS s FROM items WHERE len(ws) > 0), unnest(range(1, len(ws) - s + 2)) AS t(i)),
+sizes AS (SELECT DISTINCT s FROM phrases),
+runs AS (SELECT doc_id, i, s, array_to_string(ws[i : i + s - 1], ' ') AS phrase FROM w, sizes, unnest(range(1, len(ws) - s + 2)) AS t(i)),
+hits AS (SELECT doc_id, i, s, item FROM runs JOIN phrases USING (s, phrase)),
+hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + s)) AS u(p) GROUP BY doc_id),
+hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS told FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(told, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
+
+SQL: dict[str, str] = {"op2_substring_dedup": _OP2, "op9_decontamination": _OP9}
