@@ -31,15 +31,24 @@ def _keep_apart(rows: np.ndarray, height: np.ndarray, gap: int) -> np.ndarray:
     return rows[keep]
 
 
-def _falls_by(x: list[float], i: int, least: float, step: int) -> bool:
-    """Walking from ``i``, the series falls by ``least`` before it rises above x[i]."""
-    top = x[i]
-    j = i
-    while 0 <= j < len(x) and x[j] <= top:
-        if top - x[j] >= least:
-            return True
-        j += step
-    return False
+def _lows(x: list[float]) -> list[float]:
+    """For each row, the lowest value to its left before one that is higher, or missing; its own included.
+
+    The stack holds the values that no later one has reached yet, each with the lowest since the one below it,
+    so every row is pushed and popped once.
+    """
+    out, stack = [], []
+    for value in x:
+        if value != value:
+            stack.clear()
+            out.append(value)
+            continue
+        low = value
+        while stack and stack[-1][0] <= value:
+            low = min(low, stack.pop()[1])
+        stack.append((value, low))
+        out.append(low)
+    return out
 
 
 def find_peaks(x: np.ndarray, gap: int, prominence: float) -> np.ndarray:
@@ -51,8 +60,8 @@ def find_peaks(x: np.ndarray, gap: int, prominence: float) -> np.ndarray:
     rows = local_maxima(x)
     rows = _keep_apart(rows, x[rows], gap)
     values = x.tolist()
-    tall = [_falls_by(values, i, prominence, -1) and _falls_by(values, i, prominence, 1) for i in rows.tolist()]
-    return rows[np.array(tall, dtype=bool)]
+    before, after = np.array(_lows(values)), np.array(_lows(values[::-1])[::-1])
+    return rows[(x[rows] - before[rows] >= prominence) & (x[rows] - after[rows] >= prominence)]
 
 
 def earlier_match(
