@@ -11,7 +11,6 @@ the other is encoded anew.
 from __future__ import annotations
 
 import unicodedata
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -162,7 +161,6 @@ def split_blanks(text: str) -> list[str]:
     return text.translate(_TO_BLANK).split(" ")
 
 
-@lru_cache(maxsize=4)
 def codec(path: str, leaf: int = LEAF, window: int = WINDOW) -> Codec:
     return Codec(path, leaf, window)
 

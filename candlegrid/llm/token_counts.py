@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 import regex
 from pyspark.sql import DataFrame
@@ -70,7 +69,6 @@ class Counter:
 _ODD_BLANKS = regex.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|^ | $|  | \n|\n[ \n]|^\n|\n$")
 
 
-@lru_cache(maxsize=2)
 def counter(path: str) -> Counter:
     return Counter(path)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import json
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import regex
 from tokenizers import Tokenizer
@@ -39,7 +40,9 @@ class Merges:
     last: list[int] = field(default_factory=list)  # the same at a word's end
 
 
+@lru_cache(maxsize=2)
 def load(path: str) -> Merges:
+    """The file's rules, kept by a worker; what words have been merged to is kept by a task only."""
     with open(path, encoding="utf-8") as file:
         told = json.load(file)
     ids: dict[str, int] = told["model"]["vocab"]
