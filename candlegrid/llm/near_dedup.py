@@ -163,38 +163,90 @@ def hexadecimal(fingerprint: Column) -> Column:
 
 # ---- a higher tolerance: similarity of word shingles ----
 
-#: Fingerprints over a sample of shingles, shingles in a sample, and hashes kept for the comparison.
-TABLES, SAMPLE, SKETCH = 8, 3, 128
+#: Fingerprints over a sample of shingles, shingles in a sample, and 64-bit numbers of parities.
+TABLES, SAMPLE, PARITIES = 8, 3, 8
 
 
-def signature_of(text: str | None, size: int) -> tuple[int, list[int], np.ndarray]:
-    """SimHash of all shingles; SimHashes of TABLES samples, each of the SAMPLE shingles that come first under a seed of
-    its own; and the SKETCH least hashes of distinct shingles."""
+def shingle_hashes(text: str | None, size: int) -> np.ndarray:
+    """XXH64 of the text's shingles, in their order; none without words."""
     words = _WORDS.findall(text.translate(_LOWER)) if text else []
     if not words:
-        return 0, [], np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64)
     shingles = [" ".join(words)] if len(words) < size else map(" ".join, zip(*[words[i:] for i in range(size)], strict=False))
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter([digest(s, 42) for s in shingles], np.uint64)
+    return np.fromiter([digest(s, 42) for s in shingles], np.uint64)
+
+
+def parities(distinct: np.ndarray) -> np.ndarray:
+    """Distinct hashes dealt to 64 * PARITIES places: a bit per place, whether it got an odd number.
+
+    Where two texts differ in a bit, one of them has a hash that the other lacks, so bits that differ never
+    outnumber hashes that differ.
+    """
+    odd = np.bincount((distinct % np.uint64(64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def signature_of(text: str | None, size: int) -> tuple[int, list[int], int, np.ndarray]:
+    """SimHash of all shingles; SimHashes of TABLES samples, each of the SAMPLE shingles that come first under a seed of
+    its own; the number of distinct shingles and the parities of their hashes."""
+    hashes = shingle_hashes(text, size)
+    if not len(hashes):
+        return 0, [], 0, parities(hashes)
     distinct = np.unique(hashes)
     samples = []
     for table in range(TABLES):
         order = mix(distinct ^ np.uint64((table + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
         first = np.argpartition(order, SAMPLE - 1)[:SAMPLE] if len(order) > SAMPLE else np.arange(len(order))
         samples.append(majority(distinct[first]))
-    return majority(hashes), samples, distinct[:SKETCH]
+    return majority(hashes), samples, len(distinct), parities(distinct)
+
+
+def _possible(x: str, y: str, threshold: float) -> Column:
+    """Whether the sizes and parities of columns x and y (structs of n and odd) allow a similarity of threshold."""
+    apart = F.aggregate(F.zip_with(f"{x}.odd", f"{y}.odd", lambda a, b: _differ(a, b)), F.lit(0), lambda n, d: n + d)
+    apart = F.greatest(F.abs(F.col(f"{x}.n") - F.col(f"{y}.n")), apart)
+    # similar sets differ in at most (1 - t) of their union, which is half of both sizes and the difference
+    return apart * (1 + threshold) <= (1 - threshold) * (F.col(f"{x}.n") + F.col(f"{y}.n")) + 1e-6
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, threshold: float, size: int) -> DataFrame:
+    """Those of the pairs (a, b) of nodes whose full sets of shingles are similar; texts has node and _text.
+
+    Only the texts of nodes in a pair are shuffled and hashed again.
+    """
+    pairs = stored(pairs, "proposed")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+    def make():
+        def apply(part):
+            return [[np.unique(shingle_hashes(t, size)).view(np.int64) for t in part]]
+
+        return apply
+
+    asked = texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    full = stored(map_texts(asked, make, [T.StructField("hashes", T.ArrayType(T.LongType()))], "node", "_text"), "shingles")
+    both = pairs.join(full.select(F.col("node").alias("a"), F.col("hashes").alias("s")), "a").join(full.select(F.col("node").alias("b"), F.col("hashes").alias("t")), "b")
+    shared = F.size(F.array_intersect("s", "t"))
+    met = both.select("a", "b", shared.alias("shared"), (F.size("s") + F.size("t")).alias("n"))
+    return met.where(F.col("shared") >= threshold * (F.col("n") - F.col("shared"))).select("a", "b")
 
 
 def similar_documents(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per distinct (id, text): id, node (a hash of the text) and group, the least node of those reachable.
 
     Two texts are linked if their sets of `size`-word shingles have a similarity of `threshold` or more, told from
-    the least 128 hashes of both (exact for shorter texts). Whole fingerprints within two bits and equal sampled
+    the hashes of all their distinct shingles. Whole fingerprints within two bits and equal sampled
     fingerprints propose pairs; of those that share a sampled fingerprint each is compared with one of them. A pair
     at 0.8 is proposed with a chance of over 0.99, one at 0.9 of over 0.9999. Equal texts have one node; texts
     without words are equal to each other.
     """
-    columns = [T.StructField("fp", T.LongType()), T.StructField("samples", T.ArrayType(T.LongType())), T.StructField("sketch", T.ArrayType(T.LongType()))]
+    columns = [
+        T.StructField("fp", T.LongType()),
+        T.StructField("samples", T.ArrayType(T.LongType())),
+        T.StructField("n", T.LongType()),
+        T.StructField("odd", T.ArrayType(T.LongType())),
+    ]
 
     def make():
         def apply(texts):
@@ -202,7 +254,8 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, size: int = 5, id
             return [
                 np.array([t[0] for t in told], np.uint64).view(np.int64),
                 [np.array(t[1], np.uint64).view(np.int64) for t in told],
-                [t[2].view(np.int64) for t in told],
+                np.array([t[2] for t in told], np.int64),
+                [t[3] for t in told],
             ]
 
         return apply
@@ -210,25 +263,20 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, size: int = 5, id
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("node"), text.alias("_text"))
     told = stored(map_texts(rows, make, columns, "_id", "_text", ["node"]), "signatures")
-    nodes = told.groupBy("node").agg(F.first("fp").alias("fp"), F.first("samples").alias("samples"))
+    nodes = told.groupBy("node").agg(F.first("fp").alias("fp"), F.first("samples").alias("samples"), F.first(F.struct("n", "odd")).alias("set"))
+    nodes = stored(nodes, "nodes")
 
     sampled = nodes.select("node", F.posexplode("samples").alias("table", "key"))
     meeting = sampled.groupBy("table", "key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     proposed = sampled.join(meeting, ["table", "key"]).select("a", F.col("node").alias("b"))
     of_print = nodes.groupBy("fp").agg(F.min("node").alias("a"))
     same = nodes.join(of_print, "fp").select("a", F.col("node").alias("b"))
-    near = links(of_print.select("fp"))
+    near = stored(links(of_print.select("fp")).distinct(), "near")
     one, two = of_print.select(F.col("fp").alias("a"), F.col("a").alias("x")), of_print.select(F.col("fp").alias("b"), F.col("a").alias("y"))
     within = near.join(one, "a").join(two, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     pairs = proposed.union(same).union(within).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-
-    sketches = told.select("node", "sketch").dropDuplicates(["node"])
-    both = pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("s")), "a").join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("t")), "b")
-    # hashes are ordered as unsigned numbers: the sign bit turned makes signed order the same
-    turned = [F.transform(c, lambda h: h.bitwiseXOR(F.lit(-(1 << 63)))) for c in ("s", "t")]
-    least = F.slice(F.array_sort(F.array_union(*turned)), 1, SKETCH)
-    met = both.select("a", "b", turned[0].alias("s"), turned[1].alias("t"), least.alias("u"))
-    shared = F.size(F.array_intersect(F.array_intersect("u", "s"), F.col("t")))
-    linked = met.where((F.size("u") == 0) | (shared >= threshold * F.size("u"))).select("a", "b")
-    roots = components(linked)
+    one, two = nodes.select(F.col("node").alias("a"), F.col("set").alias("x")), nodes.select(F.col("node").alias("b"), F.col("set").alias("y"))
+    pairs = pairs.join(one, "a").join(two, "b").where(_possible("x", "y", threshold)).select("a", "b")
+    texts = rows.select("node", "_text")
+    roots = components(_similar(pairs, texts, threshold, size))
     return told.select("_id", "node").distinct().join(roots, "node", "left").select(F.col("_id").alias(id_col), "node", F.coalesce("root", "node").alias("group"))

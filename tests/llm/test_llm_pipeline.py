@@ -91,3 +91,32 @@ def test_similar_documents_by_brute_force(spark):
 def test_cut_leaves_other_words():
     assert cut_spans(pa.array(["a b c d"]), [[(1, 3)]]) == ["a  d"]
     assert re.sub(" +", " ", "a  d") == "a d"
+
+
+def brute_groups(docs):
+    sets = {i: shingles(t) for i, t in docs}
+    group = {i: i for i in sets}
+    for i in sets:
+        for j in sets:
+            if j < i and group[i] != group[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                group = {k: min(group[i], group[j]) if g in (group[i], group[j]) else g for k, g in group.items()}
+    return group
+
+
+def found_groups(spark, docs):
+    least, rows = {}, similar_documents(spark.createDataFrame(docs, "doc_id long, text string"), 0.8).collect()
+    for r in rows:
+        least[r.group] = min(r.doc_id, least.get(r.group, r.doc_id))
+    return {r.doc_id: least[r.group] for r in rows}
+
+
+def test_long_texts_at_the_border(spark):
+    # pairs of 400 shingles, of which all but 3 to 14 runs of five differ: from 0.70 to 0.93
+    own, docs = random.Random(21), []
+    for i in range(120):
+        words = [f"x{own.randrange(10**6)}" for _ in range(404)]
+        other = list(words)
+        for k in range(3 + i % 12):
+            other[10 + 25 * k] = f"y{i}"
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    assert found_groups(spark, docs) == brute_groups(docs)
