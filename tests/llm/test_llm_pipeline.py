@@ -120,3 +120,16 @@ def test_long_texts_at_the_border(spark):
             other[10 + 25 * k] = f"y{i}"
         docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
     assert found_groups(spark, docs) == brute_groups(docs)
+
+
+def test_pairs_over_one_template(spark):
+    # all texts are alike at 0.6 and meet in the same buckets; pairs are alike at 0.82
+    own, docs = random.Random(5), []
+    template = [f"t{i}" for i in range(304)]
+    for i in range(100):
+        words = template + [f"x{own.randrange(10**6)}" for _ in range(100)]
+        other = list(words)
+        for k in range(8):
+            other[309 + 12 * k] = f"y{i}"
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    assert found_groups(spark, docs) == brute_groups(docs)
