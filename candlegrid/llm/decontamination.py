@@ -84,7 +84,8 @@ class FmIndex:
         self.order = suffix_array(apart)
         last = values[self.order - 1]
         self.last = last
-        self.bits = max(1, int(values.max(initial=0)).bit_length())
+        self.largest = int(values.max(initial=0))
+        self.bits = max(1, self.largest.bit_length())
         self.ranks = WaveletMatrix(last, self.bits)
         self.less = np.concatenate(([0], np.cumsum(np.bincount(values, minlength=1 << self.bits))))
         # a stretch's first place keeps its position, so no walk has to cross a separator
@@ -97,7 +98,8 @@ class FmIndex:
         """For phrases of one length (a row each): the ranges of suffixes that begin with them."""
         low = np.zeros(len(phrases), np.int64)
         high = np.full(len(phrases), len(self.last), np.int64)
-        alive = np.arange(len(phrases))
+        # a number beyond the shard's largest occurs nowhere and has no place in its tables
+        alive = np.flatnonzero((phrases <= self.largest).all(axis=1))
         for column in range(phrases.shape[1] - 1, -1, -1):
             symbols = phrases[alive, column]
             low[alive] = self.less[symbols] + self.ranks.rank(symbols, low[alive])

@@ -86,3 +86,16 @@ def test_empty(spark):
 def test_cut():
     texts = pa.array(["x", "One, two. Three (four) five!", None])
     assert cut_spans(texts, [[], [(1, 3), (4, 5)], []]) == ["x", "One,  (four) !", None]
+
+
+def test_phrases_beyond_a_shards_numbers(spark):
+    index = FmIndex(np.array([0, 1, 2, 3, 0, 2, 3]))
+    low, high = index.search(np.array([[2, 3], [3, 4], [4, 4], [9, 1], [1, 900], [1, 2]]))
+    assert (high - low).tolist() == [2, 0, 0, 0, 0, 1]
+    # a short document in a shard of its own, among items of many more words
+    items = [(i, " ".join(f"w{rng}x" for rng in range(12 * i, 12 * i + 12))) for i in range(80)]
+    docs = [(i, f"so {t} it is") for i, t in items] + [(100, "nothing of it")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(90)
+    got = contamination_digests(contamination(frame, bench)).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(str((d, *brute(t, items, 10))) for d, t in docs)
