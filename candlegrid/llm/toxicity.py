@@ -133,8 +133,12 @@ _FIXED = {
     for w in words
 }
 _MARKS = frozenset("\"“”„«»")
-_STOPS = frozenset(".!?;:,")
-_INNER = re.compile(r"[^\W_](?:[\w'’-]*[^\W_])?")
+_STOPS = frozenset(".!?;:,…")
+# those that end a clause without a word before them
+_ALONE = frozenset(".!?;…")
+# two hyphens are a dash and part words, one doesn't
+_INNER = re.compile(r"[^\W_](?:(?:[\w'’]|-(?!-))*[^\W_])?")
+_JOINTS = re.compile(r"[-_]+")
 
 
 @dataclass(frozen=True)
@@ -151,6 +155,8 @@ class Scorer:
     """Reads texts clause by clause."""
 
     REMEMBERED = 100_000
+    #: Longer pieces are read each time.
+    LONGEST = 64
 
     def __init__(self, model: Model):
         self.model = model
@@ -165,32 +171,40 @@ class Scorer:
             found = max(found, self.model.roots.get(word[:n], 0.0))
         return found
 
+    def _kind(self, word: str) -> tuple[int, float]:
+        kind = _FIXED.get(word, WORD)
+        weight = 1.0 if kind == INSULT else self.insult(word) if kind == WORD else 0.0
+        return (INSULT if weight else kind), weight
+
     def _symbols(self, raw: str) -> tuple[bool, tuple[tuple[int, float], ...]]:
-        """Whether the word begins an event, and its symbols with their weights."""
+        """Whether a word of the piece begins an event, and the symbols of its words and marks with their weights."""
         if raw == "\n":
             return False, ((BREAK, 0.0),)
-        inner = _INNER.search(raw)
-        if not inner:
-            marks = sum(c in _MARKS for c in raw)
-            return False, ((QUOTE, 0.0),) * marks + ((STOP, 0.0),) * any(c in ".!?;" for c in raw)
-        word = inner[0].replace("’", "'")
-        out = [(QUOTE, 0.0)] * sum(c in _MARKS for c in raw[: inner.start()])
-        kind = _FIXED.get(word, WORD)
-        weight = 1.0 if kind == INSULT else self.insult(word) if kind == WORD else 0.0
-        if weight:
-            kind = INSULT
-        out.append((kind, weight))
-        tail = raw[inner.end() :]
+        out, at = [], 0
+        for inner in _INNER.finditer(raw):
+            gap = raw[at : inner.start()]
+            out += [(QUOTE, 0.0)] * sum(c in _MARKS for c in gap)
+            out += [(STOP, 0.0)] * (at > 0 and not _STOPS.isdisjoint(gap))
+            word = inner[0].replace("’", "'")
+            own = [self._kind(word)]
+            if own[0][0] == WORD and _JOINTS.search(word):
+                # a compound is one word unless the grammar knows a part of it
+                parts = [self._kind(w) for w in _JOINTS.split(word)]
+                own = parts if any(kind != WORD for kind, _ in parts) else own
+            out += own
+            at = inner.end()
+        tail = raw[at:]
         out += [(QUOTE, 0.0)] * sum(c in _MARKS for c in tail)
-        out += [(STOP, 0.0)] * (not _STOPS.isdisjoint(tail))
-        return kind in (INSULT, HARM), tuple(out)
+        out += [(STOP, 0.0)] * (not (_STOPS if at else _ALONE).isdisjoint(tail))
+        return any(kind in (INSULT, HARM) for kind, _ in out), tuple(out)
 
     def events(self, text: str | None) -> np.ndarray:
         """Weight of each kind of event, summed over clauses."""
         out = np.zeros(len(EVENTS))
         if not text:
             return out
-        told = list(map(self.symbols.__getitem__, text.lower().replace("\n", " \n ").split(" ")))
+        pieces = [p for line in text.lower().splitlines() for p in (*line.split(), "\n")]
+        told = [self.symbols[p] if len(p) <= self.LONGEST else self._symbols(p) for p in pieces]
         if not any([begins for begins, _ in told]):
             return out
         state, pending = 0, 0.0

@@ -61,6 +61,18 @@ def test_clauses():
     assert events("tout vequment la") == none | {"insult": 0.5}
 
 
+def test_every_word_is_read():
+    def events(text):
+        return Scorer(Model({}, {})).events(text).tolist()
+
+    for text in ("you\tare\ta\tmoron", "you\u00a0moron", "you/moron", "you\u2014moron", "you--moron", "you-moron", "moron_you", "(you)(moron)"):
+        assert events(text) == [0, 1, 0, 0, 0], text
+    assert events("you...moron") == events("a moron\r\nyou") == events("so\u2026moron") == [1, 0, 0, 0, 0]
+    assert events('they/"moron"') == [0, 0, 0, 1, 0]
+    assert events("will/hurt/you") == [0, 0, 0, 0, 1]
+    assert events("x/" * 200 + "you/moron") == [0, 1, 0, 0, 0]
+
+
 def test_learns_words_and_roots(spark):
     rng = random.Random(3)
     plain = [f"w{i}" for i in range(50)]
