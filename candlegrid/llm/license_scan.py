@@ -3,7 +3,8 @@
 Every two consecutive words of a document are hashed and joined to the places where the same two stand in a
 template. Matches of one template whose offset (place in the document minus place in the template) is the same
 lie on one diagonal; votes are counted per diagonal. Diagonals that lie next to each other, as they do where a
-word was added or left out, are merged and count together. Spans of full votes are verified word by word.
+word was added or left out, are merged and count together. Each place of a template votes once, by its words and not their
+hash, and places count as far as they follow each other in the document. Spans of base phrases are verified whole.
 """
 
 from __future__ import annotations
@@ -67,18 +68,29 @@ def diagonals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     voted = voted.where("label is not null or after = 0")
     diagonal = F.col("after") - 1 - F.col("place")
     whole = F.when(diagonal < 0, False).otherwise(F.slice("words", F.greatest(diagonal, F.lit(0)) + 1, F.size("phrase")) == F.col("phrase"))
+    same = F.when(F.col("after") > 0, F.slice("words", F.greatest("after", F.lit(1)), 2) == F.slice("phrase", F.col("place") + 1, 2))
     return (
-        voted.select("_id", "a", "b", "n_words", "label", "base", diagonal.alias("diagonal"), (F.size("phrase") - 1).alias("full"), whole.alias("whole"))
+        voted.select("_id", "a", "b", "n_words", "label", "base", diagonal.alias("diagonal"), (F.size("phrase") - 1).alias("full"), whole.alias("whole"), "place", same.alias("same"))
         .groupBy("_id", "a", "b", "n_words", "label", "base", "diagonal", "full")
-        .agg(F.count(F.lit(1)).alias("votes"), F.max("whole").alias("whole"))
+        .agg(F.count(F.lit(1)).alias("votes"), F.max("whole").alias("whole"), F.collect_set(F.when(F.col("same"), F.col("place"))).alias("voted"))
     )
 
 
+def _in_order(votes: Column, full: Column) -> Column:
+    """Most places of a template that follow each other in the document, of votes (at, back): place in the document, place in the template negated."""
+
+    def longest(best: Column, vote: Column) -> Column:
+        before = lambda i: F.coalesce(F.array_max(F.slice(best, F.lit(1), i)), F.lit(0))
+        return F.transform(best, lambda n, i: F.when(i == -vote["back"], F.greatest(n, before(i) + 1)).otherwise(n))
+
+    return F.array_max(F.aggregate(F.array_sort(votes), F.array_repeat(F.lit(0), full), longest))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, n_words, base (array of start and label), notices (array of start, label, share).
 
     base: every place where a phrase's words stand consecutively. notices: merged diagonals of the longer
-    templates with enough votes, share being votes by full votes. Null and empty texts have no words and no spans;
+    templates with enough votes, share being places in order by all places. Null and empty texts have no words and no spans;
     repeated rows and null ids each keep their row; other columns are ignored.
     """
     key = ["_id", "a", "b"]
@@ -87,18 +99,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > NEAR, F.lit(True))
     grouped = votes.withColumn("group", F.sum(apart.cast("int")).over(order))
     merged = grouped.groupBy(*key, "n_words", "label", "base", "full", "group").agg(
-        F.min("diagonal").alias("start"), F.sum("votes").alias("votes"), F.collect_list(F.when(F.col("whole"), F.col("diagonal"))).alias("places")
+        F.min("diagonal").alias("start"), F.sum("votes").alias("votes"), F.collect_list(F.when(F.col("whole"), F.col("diagonal"))).alias("places"),
+        F.collect_list(F.when(~F.col("base"), F.struct("diagonal", "voted"))).alias("voted"),
     )
-    # the votes of a document's copies add up, so a share is of all of them
+    enough = F.size(F.array_distinct(F.flatten("voted.voted"))) >= LEAST_SHARE * F.col("full")
+    votes = F.flatten(F.transform("voted", lambda d: F.transform(d["voted"], lambda p: _named(at=d["diagonal"] + p, back=-p))))
+    merged = merged.withColumn("share", F.when(enough, _in_order(votes, F.col("full")) / F.col("full")).otherwise(0.0))
     told = merged.groupBy(*key, "n_words").agg(
         F.sum(F.when(F.col("label").isNull(), F.col("votes"))).alias("copies"),
         F.flatten(F.collect_list(F.when(F.col("base"), F.transform("places", lambda p: _named(start=p.cast("long"), label=F.col("label")))))).alias("base"),
-        F.collect_list(F.when(~F.col("base"), _named(start=F.greatest("start", F.lit(0)).cast("long"), label=F.col("label"), share=F.col("votes") / F.col("full")))).alias("seen"),
-    )
-    notices = F.filter(
-        F.transform("seen", lambda s: _named(start=s["start"], label=s["label"], share=F.least(s["share"] / F.col("copies"), F.lit(1.0)))),
-        lambda s: s["share"] >= LEAST_SHARE,
+        F.collect_list(F.when(~F.col("base"), _named(start=F.greatest("start", F.lit(0)).cast("long"), label=F.col("label"), share=F.col("share")))).alias("seen"),
     )
+    notices = F.filter("seen", lambda s: s["share"] >= LEAST_SHARE)
     told = told.select("_id", "n_words", F.array_sort("base").alias("base"), F.array_sort(notices).alias("notices"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
     return told.select(F.col("_id").alias(id_col), "n_words", "base", "notices")
 

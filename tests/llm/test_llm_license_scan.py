@@ -39,5 +39,18 @@ def test_notices(spark):
     assert [r.score for r in rows][::3] == [1.0, 1.0] and 0.6 <= rows[1].score < 1 and rows[2].score == 0
 
 
+def test_repeated_pairs_are_no_notice(spark):
+    docs = [
+        (1, "rights reserved rights reserved"),
+        (2, "spdx license spdx license"),
+        (3, "rights reserved all rights"),
+        (4, "rights reserved, all rights reserved"),
+        (5, "rights reserved rights reserved"),
+        (5, "rights reserved rights reserved"),
+    ]
+    rows = summary(scan(spark.createDataFrame(docs, "doc_id long, text string"))).orderBy("doc_id").collect()
+    assert [(r.labels, r.score) for r in rows] == [("", 0.0), ("", 0.0), ("", 0.0), ("reserved", 1.0), ("", 0.0), ("", 0.0)]
+
+
 def test_empty(spark):
     assert summary(scan(spark.createDataFrame([], "doc_id long, text string"))).count() == 0
