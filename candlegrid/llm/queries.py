@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from candlegrid.llm import fingerprints, license_scan, substring_dedup, toxicity
 from candlegrid.llm.bpe_codec import digests, encode
+from candlegrid.llm.byte_codec import byte_digests, encode_bytes
 from candlegrid.llm.decontamination import contamination, contamination_digests
 from candlegrid.llm.lm_scoring import lm_scores
 from candlegrid.llm.near_dedup import hexadecimal, near_duplicates
@@ -64,6 +65,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_digests(encode_bytes(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_decontamination": op9_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
