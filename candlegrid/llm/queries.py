@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlegrid.llm import fingerprints, license_scan, substring_dedup, toxicity
+from candlegrid.llm import fingerprints, license_scan, merkle, substring_dedup, toxicity
 from candlegrid.llm.bpe_codec import digests, encode
 from candlegrid.llm.byte_codec import byte_digests, encode_bytes
 from candlegrid.llm.decontamination import contamination, contamination_digests
@@ -65,6 +65,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proof_digests(merkle.manifest(_table(spark, sf_dir, "documents")))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_digests(encode_bytes(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_decontamination": op9_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
@@ -110,4 +115,38 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
   sha256(coalesce(told, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
 
-SQL: dict[str, str] = {"op2_substring_dedup": _OP2, "op9_decontamination": _OP9}
+# CRC-32 of a decimal number, bit by bit
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({} AS VARCHAR), ''), lambda s: ord(s)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))))"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _fields(n_chars: str) -> str:
+    return " || ".join(_field(x) for x in ("doc_id", "source", "lang", n_chars, "text"))
+
+
+_OP11 = rf"""
+WITH RECURSIVE rows AS (SELECT doc_id, lang, sha256({_fields("n_chars")}) AS leaf,
+  CASE WHEN n_chars IS NOT NULL AND {_CRC32.format("doc_id")} % 7 = 0 THEN sha256({_fields("n_chars + 1")}) END AS tampered FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM rows),
+nodes AS (SELECT lang, 0 AS lvl, i, n, leaf AS d FROM leaves UNION ALL
+  SELECT lang, lvl + 1, i // 2, (n + 1) // 2, sha256(d || coalesce(after, '')) FROM (SELECT *, lead(d) OVER (PARTITION BY lang ORDER BY i) AS after FROM nodes) WHERE n > 1 AND i % 2 = 0),
+subroots AS (SELECT lang, d, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+upper AS (SELECT 0 AS lvl, i, n, d FROM subroots UNION ALL
+  SELECT lvl + 1, i // 2, (n + 1) // 2, sha256(d || coalesce(after, '')) FROM (SELECT *, lead(d) OVER (ORDER BY i) AS after FROM upper) WHERE n > 1 AND i % 2 = 0),
+steps AS (SELECT l.lang, l.i, p.lvl, p.i % 2 AS side, s.d FROM leaves l JOIN nodes p ON p.lang IS NOT DISTINCT FROM l.lang AND p.i = l.i >> p.lvl AND p.n > 1
+    LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM l.lang AND s.lvl = p.lvl AND s.i = xor(p.i, 1)
+  UNION ALL SELECT l.lang, l.i, 100 + p.lvl, p.i % 2, s.d FROM leaves l JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.lang JOIN upper p ON p.i = r.i >> p.lvl AND p.n > 1
+    LEFT JOIN upper s ON s.lvl = p.lvl AND s.i = xor(p.i, 1)),
+proofs AS (SELECT lang, i, coalesce(string_agg(d, '' ORDER BY lvl), '') AS told, list(struct_pack(side, d) ORDER BY lvl) AS path FROM steps GROUP BY lang, i),
+climb AS (SELECT l.lang, l.i, 0 AS done, coalesce(path, []) AS path, coalesce(tampered, leaf) AS d FROM leaves l LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM l.lang AND p.i = l.i UNION ALL
+  SELECT lang, i, done + 1, path, sha256(CASE WHEN path[done + 1].side = 1 THEN path[done + 1].d || d ELSE d || coalesce(path[done + 1].d, '') END) FROM climb WHERE done < len(path))
+SELECT doc_id, leaf, s.d AS subroot, u.d AS root, sha256(coalesce(p.told, '')) AS proof_sha256, c.d AS folded_root, c.d = u.d AS verified
+FROM leaves l JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang JOIN (SELECT d FROM upper WHERE n = 1) u ON true
+LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM l.lang AND p.i = l.i
+JOIN climb c ON c.lang IS NOT DISTINCT FROM l.lang AND c.i = l.i AND c.done = len(c.path)"""
+
+SQL: dict[str, str] = {"op2_substring_dedup": _OP2, "op9_decontamination": _OP9, "op11_merkle_manifest": _OP11}
