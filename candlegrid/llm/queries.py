@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from candlegrid.llm import fingerprints, license_scan, merkle, substring_dedup, toxicity
 from candlegrid.llm.bpe_codec import digests, encode
 from candlegrid.llm.byte_codec import byte_digests, encode_bytes
+from candlegrid.llm.conversation_trie import prefix_trie
 from candlegrid.llm.decontamination import contamination, contamination_digests
 from candlegrid.llm.lm_scoring import lm_scores
 from candlegrid.llm.near_dedup import hexadecimal, near_duplicates
@@ -69,6 +70,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proof_digests(merkle.manifest(_table(spark, sf_dir, "documents")))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_digests(encode_bytes(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
@@ -149,4 +155,20 @@ FROM leaves l JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang JOIN (SELECT
 LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM l.lang AND p.i = l.i
 JOIN climb c ON c.lang IS NOT DISTINCT FROM l.lang AND c.i = l.i AND c.done = len(c.path)"""
 
-SQL: dict[str, str] = {"op2_substring_dedup": _OP2, "op9_decontamination": _OP9, "op11_merkle_manifest": _OP11}
+_OP12 = rf"""
+WITH turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p, struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+whole AS (SELECT conv_id, list(said ORDER BY p) AS said, {_CRC32.format("conv_id")} % 9 AS h FROM turns GROUP BY conv_id),
+rebuilt AS (SELECT c.conv_id, list_concat(coalesce(b.said, [])[1 : c.h], c.said[c.h + 1 :]) AS said FROM whole c LEFT JOIN whole b ON b.conv_id = c.conv_id - c.conv_id % 5),
+steps AS (SELECT conv_id, d, said[1 : d] AS node, len(said) = d AS here FROM rebuilt, unnest(range(len(said) + 1)) AS u(d)),
+nodes AS (SELECT node, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+  string_agg(CASE WHEN here THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ends FROM steps GROUP BY node),
+kids AS (SELECT node[1 : depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+sums AS (SELECT a.node[1 : u.d] AS node, count(*) FILTER (WHERE k.node IS NULL) AS n_leaves,
+  sum((a.n_convs - 1) * CASE WHEN a.depth > 0 THEN strlen(a.node[a.depth].t) ELSE 0 END) AS saved
+  FROM nodes a LEFT JOIN kids k USING (node), unnest(range(a.depth + 1)) AS u(d) GROUP BY ALL)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN sums s USING (node) LEFT JOIN kids k USING (node) LEFT JOIN nodes p ON p.node = n.node[1 : n.depth - 1] AND n.depth > 0"""
+
+SQL: dict[str, str] = {"op2_substring_dedup": _OP2, "op9_decontamination": _OP9, "op11_merkle_manifest": _OP11, "op12_prefix_trie": _OP12}
