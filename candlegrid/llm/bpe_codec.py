@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from candlegrid.llm.batches import Memo, map_texts
 from candlegrid.llm.vocabulary import AGREED, Merges, load, merge_by_heap, special_pattern
 
-#: Chunks a task remembers, twice over.
+#: Chunks a task remembers, and words, each twice over.
 REMEMBERED = 150_000
 #: Symbols up to which a stretch is encoded directly.
 LEAF = 24
@@ -69,6 +69,7 @@ class Codec:
             if made not in self.parts:
                 self.parts[made] = [*self.parts.get(pair >> 32, [pair >> 32]), *self.parts.get(pair & 0xFFFFFFFF, [pair & 0xFFFFFFFF])]
         self.chunks = Memo(self.chunk, REMEMBERED)
+        self.known = Memo(self.word, REMEMBERED)
 
     # ---- one unsplit stretch ----
 
@@ -93,22 +94,33 @@ class Codec:
 
     # ---- chunks and texts ----
 
+    def word(self, word: str) -> bytes:
+        """Token ids, little-endian 32 bits each, of one word."""
+        told = word.encode()
+        symbols = [*map(self.merges.first.__getitem__, told)]
+        symbols[-1] = self.merges.last[told[-1]]
+        return np.array(self.stretch(symbols), "<u4").tobytes()
+
     def chunk(self, chunk: str) -> bytes:
-        """Token ids, little-endian 32 bits each, of a stretch without blanks or of any text."""
-        ids: list[int] = []
-        for i, part in enumerate(self.special.split(chunk) if self.special else [chunk]):
+        """Token ids of a stretch without blanks or of any text."""
+        known = self.known
+        if self.special is None or not any(mark in chunk for mark in self.merges.specials):
+            return b"".join(map(known.__getitem__, self._words(chunk)))
+        ids = []
+        for i, part in enumerate(self.special.split(chunk)):
             if i % 2:
-                ids.append(self.merges.specials[part])
+                ids.append(np.array([self.merges.specials[part]], "<u4").tobytes())
             elif part:
-                for word in self._words(part):
-                    told = word.encode()
-                    symbols = [self.merges.first[b] for b in told]
-                    symbols[-1] = self.merges.last[told[-1]]
-                    ids += self.stretch(symbols)
-        return np.array(ids, "<u4").tobytes()
+                ids += map(known.__getitem__, self._words(part))
+        return b"".join(ids)
 
     def _words(self, part: str) -> list[str]:
         if part.isascii():
+            # letters alone are one word, and so are those before a last sign
+            if part.isalpha():
+                return [part.lower()]
+            if part[:-1].isalpha() and not part[-1].isalnum() and not part[-1].isspace():
+                return [part[:-1].lower(), part[-1]]
             return self.merges.pattern.findall(part.lower())
         if max(part) <= AGREED:
             # letter by letter, as the library does: no context for a sigma at a word's end, which lies beyond AGREED
