@@ -10,7 +10,8 @@ that goes on in another source is found, and neighbouring factors merge.
 A chunk of documents is combined before it is sent: of a seed's occurrences in the chunk only those with the
 smallest id go to the block, the others are factors already. A passage that a third of all documents hold thus
 reaches its block once a chunk. Words aren't sent, only seeds of 64 bits; two different runs of words among n
-are taken for one with a chance of about n / 2**64 for each.
+are taken for one with a chance of about n / 2**64 for each. A seed's place is its word's number in the chunk, which
+ascends within a block's row, so that only steps are sent, byte by byte in planes that are mostly zero.
 """
 
 from __future__ import annotations
@@ -38,14 +39,32 @@ _SEEDS = T.StructType(
         T.StructField("block", T.IntegerType()),
         T.StructField("chunk", T.LongType()),
         T.StructField("seed", T.BinaryType()),  # uint64 each
-        T.StructField("owner", T.BinaryType()),  # uint32 each: which of the chunk's documents
-        T.StructField("place", T.BinaryType()),  # uint32 each: first word
-        T.StructField("ids", T.BinaryType()),  # int64 each: ids of the owners that occur, in order of owner
+        T.StructField("place", T.BinaryType()),  # ascending, packed: first word, by its number in the chunk
+        T.StructField("ids", T.BinaryType()),  # int64 each: ids of the documents that occur, in order
+        T.StructField("many", T.BinaryType()),  # packed: seeds of each of these
+        T.StructField("shift", T.BinaryType()),  # packed: first word's number in the document less that in the chunk
         T.StructField("source", T.BinaryType()),  # int64 each: set where the factor is known
-        T.StructField("source_place", T.BinaryType()),  # uint32 each
+        T.StructField("source_place", T.BinaryType()),  # packed: first word, by its number in the source
     ]
 )
-_HITS = T.StructType([f for f in _SEEDS.fields if f.name in ("chunk", "owner", "place", "source", "source_place")])
+_HITS = T.StructType([f for f in _SEEDS.fields if f.name in ("chunk", "place", "source", "source_place")])
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 to 2**32 - 1 as four planes of bytes, the lowest first."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpack(told: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(told, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def pack_ascending(values: np.ndarray) -> bytes:
+    return pack(np.diff(values, prepend=0))
+
+
+def unpack_ascending(told: bytes) -> np.ndarray:
+    return np.cumsum(unpack(told))
 
 
 def _first_of_each(seed: np.ndarray, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -62,31 +81,36 @@ class _Chunk:
     """Seeds of documents until enough are held."""
 
     def __init__(self, blocks: int, window: int):
-        self.blocks, self.window, self.held, self.docs = blocks, window, 0, 0
+        self.blocks, self.window, self.held, self.words = blocks, window, 0, 0
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.ids: list[np.ndarray] = []
+        self.first: list[np.ndarray] = []
+
+    @property
+    def docs(self) -> int:
+        return sum(map(len, self.ids))
 
     def add(self, texts: pa.Array, ids: np.ndarray) -> None:
         words = words_of(texts, blank_parted())
         seeds = window_hashes(words.hashes, self.window)
         # a run belongs to one text
         at = np.flatnonzero(words.doc[: len(seeds)] == words.doc[self.window - 1 :]) if len(seeds) else np.zeros(0, np.int64)
-        doc = words.doc[at]
-        self.parts.append((seeds[at], doc + self.docs, at - words.first_word[doc]))
+        self.parts.append((seeds[at], words.doc[at] + self.docs, at + self.words))
         self.ids.append(ids)
-        self.docs += len(ids)
+        self.first.append(words.first_word[:-1] + self.words)
+        self.words += len(words.hashes)
         self.held += len(at)
 
     def rows(self, chunk: int):
         """The block rows of what is held, and one row of the factors inside the chunk."""
-        seed, owner, place = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        all_ids = np.concatenate(self.ids)
-        ids = all_ids[owner]
+        seed, owner, at = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        all_ids, first_word = np.concatenate(self.ids), np.concatenate(self.first)
+        ids, place = all_ids[owner], at - first_word[owner]
         first = _first_of_each(seed, ids, place)
         inner = np.flatnonzero(ids[first] < ids)
         source = first[inner]
         if len(inner):
-            yield (-1 - chunk % self.blocks, chunk, b"", _u4(owner[inner]), _u4(place[inner]), b"", ids[source].tobytes(), _u4(place[source]))
+            yield (-1 - chunk % self.blocks, chunk, b"", pack_ascending(at[inner]), b"", b"", b"", ids[source].tobytes(), pack(place[source]))
         sent = np.flatnonzero(ids[first] == ids)
         block = (seed[sent] % np.uint64(self.blocks)).astype(np.int64)
         order = np.argsort(block, kind="stable")
@@ -95,12 +119,8 @@ class _Chunk:
         for b in range(self.blocks):
             own = sent[bounds[b] : bounds[b + 1]]
             if len(own):
-                own_ids = all_ids[np.unique(owner[own])]
-                yield (b, chunk, seed[own].tobytes(), _u4(owner[own]), _u4(place[own]), own_ids.tobytes(), b"", b"")
-
-
-def _u4(values: np.ndarray) -> bytes:
-    return values.astype("<u4").tobytes()
+                docs, many = np.unique(owner[own], return_counts=True)
+                yield (b, chunk, seed[own].tobytes(), pack_ascending(at[own]), all_ids[docs].tobytes(), pack(many), pack_ascending(first_word[docs]), b"", b"")
 
 
 def _table(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
@@ -112,19 +132,19 @@ def _table(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
 def _parse_block(rows: list[dict]):
     """Factors that the seeds of one block give, by chunk."""
     seed = np.concatenate([np.frombuffer(r["seed"], np.uint64) for r in rows])
-    owner = [np.frombuffer(r["owner"], "<u4") for r in rows]
-    place = np.concatenate([np.frombuffer(r["place"], "<u4") for r in rows])
-    # owners in a row are in order, and so are its ids
-    ids = np.concatenate([np.frombuffer(r["ids"], np.int64)[np.concatenate(([0], np.cumsum(o[1:] != o[:-1])))] for r, o in zip(rows, owner, strict=True)])
+    at = [unpack_ascending(r["place"]) for r in rows]
+    many = [unpack(r["many"]) for r in rows]
+    ids = np.concatenate([np.repeat(np.frombuffer(r["ids"], np.int64), m) for r, m in zip(rows, many, strict=True)])
+    place = np.concatenate([a - np.repeat(unpack_ascending(r["shift"]), m) for r, a, m in zip(rows, at, many, strict=True)])
     first = _first_of_each(seed, ids, place)
     hit = ids[first] < ids
-    at = 0
-    for r, o in zip(rows, owner, strict=True):
-        own = np.flatnonzero(hit[at : at + len(o)])
+    begin = 0
+    for r, a in zip(rows, at, strict=True):
+        own = np.flatnonzero(hit[begin : begin + len(a)])
         if len(own):
-            source = first[at + own]
-            yield (r["chunk"], _u4(o[own]), _u4(place[at + own]), ids[source].tobytes(), _u4(place[source]))
-        at += len(o)
+            source = first[begin + own]
+            yield (r["chunk"], pack_ascending(a[own]), ids[source].tobytes(), pack(place[source]))
+        begin += len(a)
 
 
 def merge_factors(owner: np.ndarray, place: np.ndarray, source: np.ndarray, source_place: np.ndarray, window: int) -> np.ndarray:
@@ -160,7 +180,8 @@ def factors(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_
             key = (task << 32) + number
             number += 1
             made = [(*row, None) for row in chunk.rows(key)]
-            made.append((-1 - key % blocks, key, b"", b"", b"", b"", b"", b"", np.concatenate(called).tobytes()))
+            named = np.column_stack([np.concatenate(called), np.concatenate(chunk.first)])
+            made.append((-1 - key % blocks, key, b"", b"", b"", b"", b"", b"", b"", named.astype(np.int64).tobytes()))
             chunk, called = _Chunk(blocks, window), []
             for at in range(0, len(made), 64):
                 yield _table(made[at : at + 64], names)
@@ -203,12 +224,15 @@ def factors(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_
         held: list[dict] = []
 
         def done():
-            keys = np.concatenate([np.frombuffer(r["names"], np.int64).reshape(-1, 3) for r in held if r["names"]])
+            keys = np.concatenate([np.frombuffer(r["names"], np.int64).reshape(-1, 4) for r in held if r["names"]])
             own = [r for r in held if not r["names"]]
             if not own:
                 return
-            told = [np.concatenate([np.frombuffer(r[n], kind) for r in own]).astype(np.int64) for n, kind in (("owner", "<u4"), ("place", "<u4"), ("source", np.int64), ("source_place", "<u4"))]
-            found = merge_factors(*told, window)
+            at = np.concatenate([unpack_ascending(r["place"]) for r in own])
+            source = np.concatenate([np.frombuffer(r["source"], np.int64) for r in own])
+            source_place = np.concatenate([unpack(r["source_place"]) for r in own])
+            owner = np.searchsorted(keys[:, 3], at, "right") - 1
+            found = merge_factors(owner, at - keys[owner, 3], source, source_place, window)
             bounds = np.flatnonzero(np.concatenate(([True], found[1:, 0] != found[:-1, 0])))
             for a, b in zip(bounds.tolist(), [*bounds[1:].tolist(), len(found)], strict=True):
                 key = keys[found[a, 0]]

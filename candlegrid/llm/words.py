@@ -62,15 +62,6 @@ def _byte_values() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
 
 
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BASE and of its inverse modulo 2**64."""
-    inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-    up, down = np.full(n, BASE), np.full(n, inverse)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
-
-
 @dataclass
 class Words:
     """Words of consecutive texts: bytes, and per word its first byte, length, text and 64-bit hash; first_word: per text, and the end."""
@@ -112,11 +103,12 @@ def words_of(texts: pa.Array, alphabet: Alphabet) -> Words:
         none = np.zeros(0, np.int64)
         return Words(alphabet, data, offsets, none, none, none, np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64))
     lengths = np.add.reduceat(inside, starts, dtype=np.int64)
-    up, down = _powers(1 << int(len(data)).bit_length())
-    values = _byte_values()[alphabet.value[data]]
-    values *= up[: len(data)]
+    # a word's hash adds up one spread value per byte and its place in the word, so no pattern of letters cancels out
+    place = np.arange(len(data))
+    place[starts[0] :] -= np.repeat(starts, np.diff(starts, append=len(data)))
+    values = mix(place.astype(np.uint64) * _STEP ^ _byte_values()[alphabet.value[data]])
     values[~inside] = 0
-    hashes = mix(np.add.reduceat(values, starts) * down[starts] + lengths.astype(np.uint64) * _STEP)
+    hashes = mix(np.add.reduceat(values, starts) + lengths.astype(np.uint64) * _STEP)
     doc = np.searchsorted(offsets, starts, "right") - 1
     return Words(alphabet, data, offsets, starts, lengths, doc, hashes, np.searchsorted(starts, offsets, "left"))
 

@@ -5,10 +5,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from candlegrid.llm import substring_dedup
 from candlegrid.llm.substring_dedup import deduplicated, digests, factors, merge_factors
+from candlegrid.llm.words import blank_parted, words_of
 
 
 def brute(docs, window):
@@ -63,3 +65,14 @@ def test_merging_needs_the_same_source():
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert deduplicated(docs).count() == 0
+
+
+def test_words_of_one_letter_pattern_have_hashes_of_their_own(spark):
+    # letters in the order of Thue and Morse and their mirror cancel out in any polynomial modulo a power of two
+    one = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    hashes = words_of(pa.array([f"{one} {other} ab ba {one}"]), blank_parted()).hashes.tolist()
+    assert len(set(hashes)) == 4 and hashes[0] == hashes[4]
+    same = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, f"{same} {one}"), (2, f"{same} {other}")], "doc_id long, text string")
+    assert [r.n_removed for r in deduplicated(docs).orderBy("doc_id").collect()] == [0, 0]
