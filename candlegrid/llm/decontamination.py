@@ -130,12 +130,17 @@ class FmIndex:
 
 @dataclass
 class Block:
-    """A part of the benchmark, ready for search: vocabulary and phrases by length, with the item of each phrase."""
+    """A part of the benchmark, ready for search: vocabulary, distinct phrases by length, and the items of each phrase.
+
+    Phrases are numbered through, length by length; those of phrase k are owners[bounds[k] : bounds[k + 1]].
+    """
 
     names: list[str]
     hashes: np.ndarray  # of the vocabulary, sorted
     words: list[bytes]  # in the same order
-    phrases: dict[int, tuple[np.ndarray, np.ndarray]]  # length: (numbers, item)
+    phrases: dict[int, np.ndarray]  # length: numbers, a row each
+    owners: np.ndarray
+    bounds: np.ndarray
 
     @property
     def shortest(self) -> int:
@@ -154,21 +159,25 @@ def prepare(items: list[tuple[str | None, str | None]], window: int = WINDOW) ->
     number = np.searchsorted(hashes, told.hashes) + 1
     names = sorted({i for i, _ in items})
     of = {name: k for k, name in enumerate(names)}
-    rows: dict[int, list[tuple[tuple[int, ...], int]]] = {}
+    rows: dict[int, dict[tuple[int, ...], set[int]]] = {}
     for k, (name, _) in enumerate(items):
         own = number[told.first_word[k] : told.first_word[k + 1]].tolist()
         size = min(window, len(own))
         for i in range(len(own) - size + 1 if size else 0):
-            rows.setdefault(size, []).append((tuple(own[i : i + size]), of[name]))
-    phrases = {}
-    for size, found in rows.items():
-        found = sorted(set(found))
-        phrases[size] = (np.array([p for p, _ in found], np.int64), np.array([i for _, i in found], np.int64))
-    return Block(names, hashes, [vocabulary[h] for h in hashes.tolist()], phrases)
+            rows.setdefault(size, {}).setdefault(tuple(own[i : i + size]), set()).add(of[name])
+    held = [sorted(owners) for found in rows.values() for owners in found.values()]
+    return Block(
+        names,
+        hashes,
+        [vocabulary[h] for h in hashes.tolist()],
+        {size: np.array(list(found), np.int64) for size, found in rows.items()},
+        np.array([i for own in held for i in own], np.int64),
+        np.cumsum([0, *map(len, held)]),
+    )
 
 
 def find_in_shard(words: Words, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Occurrences in a shard as (first word, end word, item)."""
+    """Occurrences in a shard as (first word, end word, phrase)."""
     none = np.zeros(0, np.int64)
     if not len(words.hashes) or not len(block.hashes):
         return none, none, none
@@ -195,8 +204,8 @@ def find_in_shard(words: Words, block: Block) -> tuple[np.ndarray, np.ndarray, n
     values = number[np.clip(source, 0, len(number) - 1)]
     values[heads] = 0
     index = FmIndex(values)
-    starts, ends, items = [none], [none], [none]
-    for size, (phrases, item) in block.phrases.items():
+    starts, ends, which, before = [none], [none], [none], 0
+    for size, phrases in block.phrases.items():
         low, high = index.search(phrases)
         hits = np.flatnonzero(high > low)
         many = (high - low)[hits]
@@ -204,8 +213,9 @@ def find_in_shard(words: Words, block: Block) -> tuple[np.ndarray, np.ndarray, n
         start = source[index.locate(rows)]
         starts.append(start)
         ends.append(start + size)
-        items.append(np.repeat(item[hits], many))
-    return np.concatenate(starts), np.concatenate(ends), np.concatenate(items)
+        which.append(np.repeat(hits + before, many))
+        before += len(phrases)
+    return np.concatenate(starts), np.concatenate(ends), np.concatenate(which)
 
 
 def _same_words(words: Words, places: np.ndarray, block: Block) -> np.ndarray:
@@ -226,8 +236,8 @@ def merge_spans(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _search_block(docs: DataFrame, block: Block, first: bool) -> DataFrame:
-    """Adds the block's findings to `_spans` and `_items`."""
+def _search_block(docs: DataFrame, block: Block, first: bool, cut: bool = False) -> DataFrame:
+    """Adds the block's findings to `_spans` and `_items`; `cut` takes the words of all spans out of the text."""
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     own = [f for f in docs.schema.fields if f.name not in ("_n_words", "_spans", "_items")]
     schema = T.StructType([*own, T.StructField("_n_words", T.LongType()), T.StructField("_spans", span), T.StructField("_items", T.ArrayType(T.StringType()))])
@@ -237,31 +247,35 @@ def _search_block(docs: DataFrame, block: Block, first: bool) -> DataFrame:
         for whole in batches:
             for part in slices(whole, text, SHARD_BYTES):
                 words = words_of(part.column(text), letters_only())
-                start, end, item = find_in_shard(words, block)
+                start, end, phrase = find_in_shard(words, block)
                 if len(start):
                     places = np.unique(np.concatenate([np.arange(a, b) for a, b in set(zip(start.tolist(), end.tolist(), strict=True))]))
                     wrong = np.zeros(len(words.hashes) + 1, np.int64)
                     wrong[places[~_same_words(words, places, block)] + 1] = 1
                     wrong = np.cumsum(wrong)
                     right = wrong[end] == wrong[start]
-                    start, end, item = start[right], end[right], item[right]
+                    start, end, phrase = start[right], end[right], phrase[right]
                 n = part.num_rows
                 spans: list[list] = [[] for _ in range(n)]
                 names: list[list] = [[] for _ in range(n)]
-                of = words.doc[start] if len(start) else start
-                for d in np.unique(of).tolist():
-                    own_hits = of == d
+                order = np.argsort(words.doc[start], kind="stable") if len(start) else start
+                of, heads = np.unique(words.doc[start[order]], return_index=True) if len(start) else (start, start)
+                for d, hits in zip(of.tolist(), np.split(order, heads[1:]), strict=True) if len(of) else ():
                     base = int(words.first_word[d])
-                    spans[d] = [(a - base, b - base) for a, b in merge_spans(start[own_hits], end[own_hits])]
-                    names[d] = [block.names[i] for i in np.unique(item[own_hits]).tolist()]
+                    spans[d] = [(a - base, b - base) for a, b in merge_spans(start[hits], end[hits])]
+                    owners = [block.owners[block.bounds[k] : block.bounds[k + 1]] for k in np.unique(phrase[hits]).tolist()]
+                    names[d] = [block.names[i] for i in np.unique(np.concatenate(owners)).tolist()]
                 if not first:
                     for d in range(n):
                         before = [(s["start"], s["end"]) for s in part.column("_spans")[d].as_py()]
                         both = np.array([*before, *spans[d]], np.int64).reshape(-1, 2)
                         spans[d] = merge_spans(both[:, 0], both[:, 1])
                         names[d] = sorted({*names[d], *part.column("_items")[d].as_py()})
+                texts = part.column(text)
+                if cut:
+                    texts = pa.array(cut_words(words, texts, spans), pa.string())
                 columns = [
-                    *[part.column(f.name) for f in own],
+                    *[texts if f.name == "_text" else part.column(f.name) for f in own],
                     pa.array(np.diff(words.first_word)),
                     pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                     pa.array(names, pa.list_(pa.string())),
@@ -271,12 +285,13 @@ def _search_block(docs: DataFrame, block: Block, first: bool) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), with_text: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), with_text: bool = False, cut: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of docs: id, what `keep` names, n_words, spans (array of start and end word), items (ids as text, sorted).
 
     An item's phrases are its runs of `window` words, or all its words if it has fewer; items without words or
     without id have none. Null texts have no words. Repeated rows and null ids each keep their row; other columns
-    are ignored; without benchmark items nothing is found. with_text keeps the text.
+    are ignored; without benchmark items nothing is found. with_text keeps the text; cut
+    keeps it without the words of the spans, each from its first word's begin to its last word's end.
     """
     told = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).distinct()
     size = told.agg(F.sum(F.octet_length("text") + 32)).first()[0] or 0
@@ -287,9 +302,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
         rows = told.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect() if blocks > 1 else told.collect()
         if b:
             found = stored(found, "contamination")
-        found = _search_block(found, prepare([(r["item"], r["text"]) for r in rows], window), b == 0)
+        found = _search_block(found, prepare([(r["item"], r["text"]) for r in rows], window), b == 0, cut and b == blocks - 1)
     names = [F.col("_id").alias(id_col), *[F.col(f"_keep_{k}").alias(k) for k in keep]]
-    if with_text:
+    if with_text or cut:
         names.append(F.col("_text").alias(text_col))
     return found.select(*names, F.col("_n_words").alias("n_words"), F.col("_spans").alias("spans"), F.col("_items").alias("items"))
 
@@ -307,9 +322,8 @@ def contamination_digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame
     )
 
 
-def cut_spans(texts: pa.Array, spans: list[list[tuple[int, int]]]) -> list[str | None]:
-    """The texts without the words of the spans, each span from its first word's begin to its last word's end."""
-    words = words_of(texts, letters_only())
+def cut_words(words: Words, texts: pa.Array, spans: list[list[tuple[int, int]]]) -> list[str | None]:
+    """The texts that the words are of, without the words of each text's spans."""
     out: list[str | None] = texts.to_pylist()
     for d, own in enumerate(spans):
         if not own:
@@ -321,3 +335,8 @@ def cut_spans(texts: pa.Array, spans: list[list[tuple[int, int]]]) -> list[str |
         parts.append(words.data[at : words.offsets[d + 1]].tobytes())
         out[d] = b"".join(parts).decode()
     return out
+
+
+def cut_spans(texts: pa.Array, spans: list[list[tuple[int, int]]]) -> list[str | None]:
+    """The texts without the words of the spans, each span from its first word's begin to its last word's end."""
+    return cut_words(words_of(texts, letters_only()), texts, spans)
