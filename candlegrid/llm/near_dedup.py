@@ -287,10 +287,14 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, size: int = 5, id
     filed = placed.select("x", F.posexplode("samples").alias("table", "key")).union(placed.select("x", F.lit(-1).alias("table"), F.col("fp").alias("key")))
     mixed = filed.groupBy("table", "key").agg(F.min("x.root").alias("least"), F.max("x.root").alias("most")).where("least <> most").select("table", "key")
     open_ = filed.join(mixed, ["table", "key"], "left_semi")
-    in_one = open_.join(open_.withColumnRenamed("x", "y"), ["table", "key"]).select("x", "y")
+    # a bucket's members meet its other groups first, and then the members of these: pairs within a group aren't formed
+    groups = open_.groupBy("table", "key", F.col("x.root").alias("other")).agg(F.lit(1).alias("one")).drop("one")
+    asked = open_.join(groups, ["table", "key"]).where(F.col("other") < F.col("x.root"))
+    beside = open_.select("table", "key", F.col("x").alias("y"), F.col("x.root").alias("other"))
+    in_one = asked.join(beside, ["table", "key", "other"]).select("x", "y")
     printed = placed.select("x", "fp")
     close = near.join(printed, F.col("a") == F.col("fp")).select("b", "x").join(printed.withColumnRenamed("x", "y"), F.col("b") == F.col("fp")).select("x", "y")
-    left = in_one.where("x.node < y.node").union(close).where("x.root <> y.root").where(_possible("x", "y", threshold))
+    left = in_one.union(close).where("x.root <> y.root").where(_possible("x", "y", threshold))
     left = left.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     more = _similar(left, texts, threshold, size)
     roots = components(more.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
