@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -57,10 +60,21 @@ def map_texts(
                 made = apply(part.column(n_kept).to_pylist())
                 arrays = [pa.array(values, kind) for values, kind in zip(made, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:n_out], *arrays], names=names)
+                del made, arrays
+        del apply
+        give_back()
 
     return picked.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Returns what a task has freed to the system: workers live on, and idle ones count against an executor's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _arrow(kind: T.DataType) -> pa.DataType:
     if isinstance(kind, T.ArrayType):
         return pa.list_(_arrow(kind.elementType))
