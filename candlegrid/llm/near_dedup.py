@@ -287,11 +287,14 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, size: int = 5, id
     filed = placed.select("x", F.posexplode("samples").alias("table", "key")).union(placed.select("x", F.lit(-1).alias("table"), F.col("fp").alias("key")))
     mixed = filed.groupBy("table", "key").agg(F.min("x.root").alias("least"), F.max("x.root").alias("most")).where("least <> most").select("table", "key")
     open_ = filed.join(mixed, ["table", "key"], "left_semi")
-    # a bucket's members meet its other groups first, and then the members of these: pairs within a group aren't formed
-    groups = open_.groupBy("table", "key", F.col("x.root").alias("other")).agg(F.lit(1).alias("one")).drop("one")
-    asked = open_.join(groups, ["table", "key"]).where(F.col("other") < F.col("x.root"))
-    beside = open_.select("table", "key", F.col("x").alias("y"), F.col("x.root").alias("other"))
-    in_one = asked.join(beside, ["table", "key", "other"]).select("x", "y")
+    # the members of a bucket's largest group meet only those of its other groups: pairs within it aren't formed
+    sizes = open_.groupBy("table", "key", F.col("x.root").alias("of")).count()
+    main = sizes.groupBy("table", "key").agg(F.max_by("of", F.struct("count", "of")).alias("main"))
+    open_ = stored(open_.join(main, ["table", "key"]).withColumn("main", F.col("x.root") == F.col("main")), "mixed")
+    rest, largest = open_.where(~F.col("main")).drop("main"), open_.where("main").drop("main")
+    with_largest = rest.join(largest.withColumnRenamed("x", "y"), ["table", "key"]).select("x", "y")
+    among = rest.join(rest.withColumnRenamed("x", "y"), ["table", "key"]).where("x.root < y.root").select("x", "y")
+    in_one = with_largest.where(_possible("x", "y", threshold)).union(among.where(_possible("x", "y", threshold)))
     printed = placed.select("x", "fp")
     close = near.join(printed, F.col("a") == F.col("fp")).select("b", "x").join(printed.withColumnRenamed("x", "y"), F.col("b") == F.col("fp")).select("x", "y")
     left = in_one.union(close).where("x.root <> y.root").where(_possible("x", "y", threshold))
