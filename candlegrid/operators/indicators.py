@@ -116,25 +116,31 @@ def window_columns(df: DataFrame, spec: IndicatorSpec) -> tuple[DataFrame, list[
 
 
 def recursive_step(spec: IndicatorSpec):
-    """The recurrences as one step of the grouped pass."""
+    """The recurrences as one step of the grouped pass, over all series of a batch."""
 
     def step(s: Series) -> dict[str, np.ndarray]:
         out: dict[str, np.ndarray] = {}
-        if spec.di or spec.adx:
+        lock = rec.Lockstep(s.rows, s.starts)
+        lengths = list(dict.fromkeys(n for n in (spec.adx, spec.di) if n))
+        if lengths:
             moves = (s["_plus_move"], s["_minus_move"], s["_true_range"])
+            shares = dict(zip(lengths, rec.directions(*moves, lengths, lock), strict=True))
         if spec.adx:
-            out["ADX"] = rec.adx(*moves, spec.adx)
+            out["ADX"] = rec.adx_of(*shares[spec.adx], spec.adx, lock)
         if spec.di:
-            out["PLUS_DI"], out["MINUS_DI"] = rec.directional(*moves, spec.di)
+            out["PLUS_DI"], out["MINUS_DI"] = shares[spec.di]
         if spec.atr:
-            out["ATR"] = rec.atr(s["_true_range"], spec.atr)
+            out["ATR"] = rec.atr(s["_true_range"], spec.atr, lock=lock)
+        named = {f"EMA{n}": rec.Ema(s["Close"], n) for n in _ema_lengths(spec)}
+        named |= {f"FI_{n}": rec.Ema(s["FI"], n) for n in spec.force or ()}
+        lines = rec.macd_lines(s["Close"], *spec.macd[:2]) if spec.macd else []
+        if named or lines:
+            averages = rec.emas([*named.values(), *lines], lock)
+            out |= dict(zip(named, averages, strict=False))
         if spec.macd:
-            out["MACD"], out["MACD_signal"] = rec.macd(s["Close"], *spec.macd)
+            fast, slow, signal = spec.macd
+            out["MACD"], out["MACD_signal"] = rec.macd_signal(averages[-2] - averages[-1], max(fast, slow), signal, lock)
             out["MACD_hist"] = out["MACD"] - out["MACD_signal"]
-        for n in _ema_lengths(spec):
-            out[f"EMA{n}"] = rec.ema(s["Close"], n)
-        for n in spec.force or ():
-            out[f"FI_{n}"] = rec.ema(s["FI"], n)
         if spec.power:
             out["Bull_Power"] = s["High"] - out[f"EMA{spec.power}"]
             out["Bear_Power"] = s["Low"] - out[f"EMA{spec.power}"]

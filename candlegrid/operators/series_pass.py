@@ -1,4 +1,4 @@
-"""One Arrow pass over every (ticker, period) series."""
+"""One Arrow pass over all (ticker, period) series, many at a time."""
 
 from __future__ import annotations
 
@@ -18,6 +18,8 @@ cloudpickle.register_pickle_by_value(candlegrid)
 
 SERIES = ("ticker", "period")
 ROW = "_row"
+#: Rows of a batch of series. Averages advance row by row over all of them, so many series are worked on at once.
+BATCH_ROWS = 200_000
 
 
 def row_in_series() -> Column:
@@ -34,10 +36,13 @@ def row_in_series() -> Column:
 
 
 class Series(Mapping):
-    """Columns of one series as arrays, converted when first used; missing numbers are NaN."""
+    """Columns of series that stand one after the other, as arrays, converted when first used; missing numbers are NaN.
 
-    def __init__(self, table: pa.Table) -> None:
-        self._table = table
+    ``starts`` has the first row of each series.
+    """
+
+    def __init__(self, table: pa.Table, starts: np.ndarray) -> None:
+        self._table, self.starts = table, starts
         self._arrays: dict[str, np.ndarray] = {}
 
     def __getitem__(self, name: str) -> np.ndarray:
@@ -72,10 +77,11 @@ def _arrow(values: np.ndarray, kind: T.DataType) -> pa.Array:
 def whole_series(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Regroup ordered batches so that none splits a series; also gives each series' first row.
 
-    Only the unfinished last series is held back, so memory is bounded by a batch and
-    one series, and a series by the calendar.
+    Batches are joined up to about ``BATCH_ROWS`` rows; beyond these only the unfinished last
+    series is held back, so memory is bounded by them and one series, and a series by the calendar.
     """
     held: list[pa.RecordBatch] = []
+    rows = 0
 
     def checked(parts: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
         table = pa.Table.from_batches(parts)
@@ -87,12 +93,14 @@ def whole_series(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table,
     for batch in batches:
         if not batch.num_rows:
             continue
-        starts = np.flatnonzero(batch.column(ROW).to_numpy() == 1)
-        if len(starts) and starts[-1] > 0 or len(starts) and held:
+        rows += batch.num_rows
+        starts = np.flatnonzero(batch.column(ROW).to_numpy() == 1) if rows >= BATCH_ROWS else ()
+        if len(starts) and (starts[-1] > 0 or held):
             cut = int(starts[-1])
             done = [*held, batch.slice(0, cut)] if cut else held
             yield checked(done)
             held = [batch.slice(cut)]
+            rows = held[0].num_rows
         else:
             held.append(batch)
     if held:
@@ -105,7 +113,7 @@ def series_pass(
     added: Sequence[tuple[str, T.DataType]],
     dropped: Sequence[str] = (),
 ) -> DataFrame:
-    """Run ``steps`` in order on every (ticker, period) series, in date order.
+    """Run ``steps`` in order on batches of whole (ticker, period) series, in date order.
 
     ``df`` must carry ``row_in_series()`` as its ``_row`` column: the window behind it
     keeps a series in one partition and in order, and the pass checks that it did.
@@ -120,17 +128,11 @@ def series_pass(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_series(batches):
-            table = table.combine_chunks()
-            lengths = np.diff(np.r_[starts, table.num_rows])
-            made: dict[str, list[np.ndarray]] = {name: [] for name, _ in added}
-            for start, length in zip(starts.tolist(), lengths.tolist()):
-                series = Series(table.slice(start, length))
-                for step in steps:
-                    series.add(step(series))
-                for name in made:
-                    made[name].append(series[name])
+            series = Series(table.combine_chunks(), starts)
+            for step in steps:
+                series.add(step(series))
             columns = [table.column(c) for c in kept_names]
-            columns += [_arrow(np.concatenate(made[name]), kind) for name, kind in added]
+            columns += [_arrow(series[name], kind) for name, kind in added]
             yield from pa.table(columns, names=names).to_batches()
 
     return df.mapInArrow(run, schema)

@@ -40,10 +40,13 @@ def position_step(spec: SignalSpec):
     """Extrema and the rows they lean on, as one step of the grouped pass."""
 
     def step(s: Series) -> dict[str, np.ndarray]:
-        n, thresholds = s.rows, dict(spec.divergence_1)
-        out: dict[str, np.ndarray] = {"_pos": np.arange(n, dtype=float)}
+        n, at, thresholds = s.rows, s.starts, dict(spec.divergence_1)
+        first = np.repeat(at, np.diff(np.r_[at, n]))
+        out: dict[str, np.ndarray] = {"_pos": (np.arange(n) - first).astype(float)}
         for c in _previous(spec):
-            out[f"_before_{c}"] = np.r_[np.nan, s[c][:-1]][:n]
+            before = np.r_[np.nan, s[c][:-1]][:n]
+            before[at] = np.nan
+            out[f"_before_{c}"] = before
         for c in ("price_search", "_power_1", "_power_2", *(f"_from_{name}" for name in thresholds)):
             out[c] = np.full(n, np.nan)
 
@@ -53,23 +56,23 @@ def position_step(spec: SignalSpec):
             (1.0, "price_Peak", "Peak", spec.bull_column),
             (-1.0, "price_Trough", "Trough", spec.bear_column),
         ):
-            rows = find_peaks(sign * price, spec.price_gap, spec.price_prominence)
+            rows = find_peaks(sign * price, spec.price_gap, spec.price_prominence, at)
             out[price_flag] = _flags(n, rows)
-            strong = find_peaks(sign * force, spec.force_gap, spec.force_prominence)
+            strong = find_peaks(sign * force, spec.force_gap, spec.force_prominence, at)
             out[f"{spec.force_column}_{force_flag}"] = _flags(n, strong[sign * force[strong] > 0])
-            matches = earlier_match(
-                rows.tolist(), (sign * price).tolist(), s["ATR"].tolist(), spec.lookback
-            )
-            mirrored = {c: (sign * s[c]).tolist() for c in (power, *thresholds)}
+            matches = earlier_match(rows, sign * price, s["ATR"], spec.lookback, at)
+            mirrored = {c: sign * s[c] for c in (power, *thresholds)}
+            # positions count from a series' own first row
             for i, start in matches.items():
-                out["price_search"][i] = start
+                own = first[i]
+                out["price_search"][i] = start - own
                 for name, percent in thresholds.items():
                     j = steepest_change(mirrored[name], start, i, percent)
                     if j is not None:
-                        out[f"_from_{name}"][i] = j
+                        out[f"_from_{name}"][i] = j - own
                 pair = two_largest(mirrored[power], start, i)
                 if pair is not None:
-                    out["_power_1"][i], out["_power_2"][i] = pair
+                    out["_power_1"][i], out["_power_2"][i] = pair[0] - own, pair[1] - own
         return out
 
     return step

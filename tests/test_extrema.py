@@ -99,3 +99,20 @@ def test_peaks_of_a_slowly_rising_series_take_linear_time():
     start = time.perf_counter()
     assert len(find_peaks(x, 1, 1.0)) == 0
     assert time.perf_counter() - start < 1.0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 9), min_size=1, max_size=40), min_size=1, max_size=6), st.integers(1, 6), st.integers(0, 6))
+def test_many_series_at_once_are_each_as_alone(many, gap, prominence):
+    starts = np.cumsum([0, *map(len, many)])[:-1]
+    x = np.array([v if v != 9 else np.nan for s in many for v in s], dtype=float)
+    found = find_peaks(x, gap, prominence, starts).tolist()
+    alone = [a + r for a, s in zip(starts.tolist(), many, strict=True) for r in find_peaks(x[a : a + len(s)], gap, prominence).tolist()]
+    assert found == alone
+    reach = np.full(len(x), 3.0)
+    matches = earlier_match(np.array(found, dtype=np.int64), x, reach, 2, starts)
+    each = {}
+    for a, s in zip(starts.tolist(), many, strict=True):
+        rows = [r - a for r in found if a <= r < a + len(s)]
+        each |= {a + i: a + j for i, j in earlier_match(rows, x[a : a + len(s)], reach, 2).items()}
+    assert matches == each

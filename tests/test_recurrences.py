@@ -70,3 +70,44 @@ def test_adx_keeps_its_value_over_idle_rows():
 def test_adx_first_row(n):
     x = np.r_[NAN, np.ones(max(n - 1, 0))][:n]
     assert np.isfinite(rec.adx(x, np.zeros(n), x, 14)).sum() == (1 if n == 28 else 0)
+
+
+def test_many_series_at_once_are_each_as_alone():
+    rng = np.random.default_rng(4)
+    lengths = [1, 2, 3, 13, 14, 15, 27, 28, 29, 40, 300, 1, 64]
+    starts = np.r_[0, np.cumsum(lengths)[:-1]]
+    total = int(np.sum(lengths))
+    close = rng.normal(100, 5, total)
+    up, down = np.abs(rng.normal(0, 1, total)), np.abs(rng.normal(0, 1, total))
+    up[rng.random(total) < 0.4] = 0
+    down[rng.random(total) < 0.4] = 0
+    tr = np.where(rng.random(total) < 0.1, 0, np.abs(rng.normal(0, 2, total)))
+    close[starts[10] + 150] = NAN  # a missing value blanks the rest of its own series only
+    for move in (up, down, tr):
+        move[starts] = NAN
+    calls = [
+        lambda s, at: rec.ema(close[s], 13, series=at),
+        lambda s, at: rec.macd(close[s], 12, 26, 9, series=at)[1],
+        lambda s, at: rec.atr(tr[s], 13, series=at),
+        lambda s, at: rec.directional(up[s], down[s], tr[s], 13, series=at)[0],
+        lambda s, at: rec.adx(up[s], down[s], tr[s], 14, series=at),
+    ]
+    for call in calls:
+        alone = [call(slice(a, a + n), None) for a, n in zip(starts, lengths, strict=True)]
+        np.testing.assert_array_equal(call(slice(None), starts), np.concatenate(alone))
+
+
+def test_values_are_rounded_as_by_the_plain_recurrence():
+    x = np.random.default_rng(2).normal(100, 5, 400)
+    e = np.cumsum(x[:13])[-1] / 13
+    want = [e]
+    for v in x[13:].tolist():
+        e = (v - e) * (2.0 / 14) + e
+        want.append(e)
+    assert rec.ema(x, 13)[12:].tolist() == want
+    a = np.cumsum(x[1:14])[-1] / 13
+    want = [a]
+    for v in x[14:].tolist():
+        a = (a * 12 + v) / 13
+        want.append(a)
+    assert rec.atr(x, 13)[13:].tolist() == want
