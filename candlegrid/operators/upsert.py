@@ -1,8 +1,8 @@
 """Upsert policies: what happens to old rows when a new batch arrives.
 
-Old tables are large and batches small, so plans are built from left-semi and
-left-anti joins on key columns: old rows are filtered where they lie, only their keys
-move, and nothing is ranked or sorted as a whole.
+``overwrite`` and ``mark_inactive`` are anti joins on key columns. The two policies that look at the latest rows of a
+series lay old and new rows out by series in one exchange and read everything else off windows over it, so that
+each side is read once or twice however many rules look at it. A series has at most a row per calendar day.
 """
 
 from __future__ import annotations
@@ -58,86 +58,82 @@ def upsert(
     if policy == "keep_old":
         return _keep_old(old, new, keys, tail_n, tail_keys)
     if policy == "delete_tail_merge":
-        gone = doomed_rows(old, new, keys, tail_n).unionByName(new.select(*keys))
-        return old.join(gone, list(keys), "left_anti").unionByName(new)
+        laid = _laid_out(old, new, tail_n)
+        gone = F.col("_met") | (F.col("_touched") & F.col("_doomed"))
+        return _with_doomed(laid, tail_n).where(F.col("_new") | ~gone).select(*old.columns)
     kept = old.join(new.select(*keys), list(keys), "left_anti")
     if policy == "mark_inactive":
         kept = kept.withColumn(active_column, F.lit(False))
     return kept.unionByName(new)
 
 
-def tail_rows(
-    old: DataFrame, keys: Sequence[str], tail_n: int, tail_keys: Sequence[str]
-) -> DataFrame:
-    """Keys of the latest ``tail_n`` rows per ``tail_keys``; later keys break ties of Date.
+def _laid_out(old: DataFrame, new: DataFrame, tail_n: int) -> DataFrame:
+    """Old and new rows by (ticker, period), with what a merge asks of them.
 
-    The rank filter is applied before the exchange as well (a window group limit), so
-    each task sends at most ``tail_n`` rows per group, however large a group is.
+    _new; _touched: the batch has rows of the series; _met: the other side has a row of this day; _rank: of an old
+    row, 1 for the series' latest.
     """
-    ties = [F.col(k).desc() for k in keys if k not in ("Date", *tail_keys)]
-    latest = Window.partitionBy(*tail_keys).orderBy(F.col("Date").desc(), *ties)
-    ranked = old.select(*keys).withColumn("_rank", F.row_number().over(latest))
-    return ranked.where(F.col("_rank") <= tail_n).drop("_rank")
+    both = old.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
+    series = Window.partitionBy("ticker", "period")
+    by_day = series.orderBy("Date")
+    same_day = by_day.rangeBetween(Window.currentRow, Window.currentRow)
+    later = by_day.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    return both.withColumns(
+        {
+            "_touched": F.bool_or("_new").over(series),
+            "_met": F.when(F.col("_new"), ~F.bool_and("_new").over(same_day)).otherwise(F.bool_or("_new").over(same_day)),
+            "_rank": F.count_if(~F.col("_new")).over(later),
+        }
+    )
+
 
+def _with_doomed(laid: DataFrame, tail_n: int) -> DataFrame:
+    """``laid`` with _doomed: a batch series of the row's period has one of its latest ``tail_n`` old rows on this day.
 
-def first_of_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: the greatest in the order of the other columns, so that equal inputs give equal tables."""
-    rest = [F.col(c).desc_nulls_last() for c in df.columns if c not in keys]
-    if not rest:
-        return df.distinct()
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*rest))
-    return df.withColumn("_copy", rank).where(F.col("_copy") == 1).drop("_copy")
+    There are at most as many (period, Date) pairs as calendar days; that bound is checked as the query runs, and the
+    pairs are sent to every task, so that the rows of one day, which all tickers share, need not meet in one task.
+    """
+    tail = laid.where(~F.col("_new") & F.col("_touched") & (F.col("_rank") <= tail_n))
+    dates = tail.select("period", "Date").distinct()
+    counted = dates.groupBy("period").agg(F.count("*").alias("_days"))
+    few = F.when(F.col("_days") > MOST_DAYS, F.raise_error(F.lit("more dates than calendar days")).cast("boolean")).otherwise(True)
+    bounded = dates.join(F.broadcast(counted.where(few).select("period")), "period").withColumn("_doomed", F.lit(True))
+    joined = laid.join(F.broadcast(bounded), ["period", "Date"], "left")
+    return joined.withColumn("_doomed", F.coalesce("_doomed", F.lit(False)))
 
 
 def _keep_old(
     old: DataFrame, new: DataFrame, keys: Sequence[str], tail_n: int, tail_keys: Sequence[str]
 ) -> DataFrame:
-    new = first_of_keys(new, keys)
-    touched = new.select(*tail_keys).distinct()
-    provisional = tail_rows(old.join(touched, list(tail_keys), "left_semi"), keys, tail_n, tail_keys)
-    kept = first_of_keys(old.join(provisional, list(keys), "left_anti"), keys)
-    added = new.join(kept.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(added, allowMissingColumns=True)
-
-
-def doomed_rows(
-    old: DataFrame, new: DataFrame, keys: Sequence[str] = PRICE_KEYS, tail_n: int = 2
-) -> DataFrame:
-    """Keys of old rows that ``delete_tail_merge`` deletes before it merges.
-
-    The dates are those of any batch ticker of the same period, not only of the row's
-    own ticker. There are at most as many (period, Date) pairs as calendar days; that bound
-    is checked as the query runs, and the pairs are sent to every task, so that the rows
-    of one day, which all tickers share, need not meet in one task.
-    """
-    pairs = new.select("ticker", "period").distinct()
-    mine = old.select(*keys).join(pairs, ["ticker", "period"], "left_semi")
-    dates = tail_rows(mine, keys, tail_n, ("ticker", "period")).select("period", "Date").distinct()
-    # a set per period, of at most MOST_DAYS dates
-    sets = dates.groupBy("period").agg(F.collect_set("Date").alias("_days"))
-    few = F.when(F.size("_days") > MOST_DAYS, F.raise_error(F.lit("more dates than calendar days"))).otherwise(F.col("_days"))
-    bounded = sets.select("period", F.explode(few).alias("Date"))
-    return mine.join(F.broadcast(bounded), ["period", "Date"], "left_semi")
+    """One exchange, on ``tail_keys``: the provisional rows are the latest of their group, and of what is left of a key
+    the old row comes first, then the greatest in the order of the other columns, so that equal inputs give equal tables."""
+    both = old.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    group = Window.partitionBy(*tail_keys)
+    ties = [F.col(k).desc() for k in keys if k not in ("Date", *tail_keys)]
+    # old rows before new ones, so that the rank of an old row counts old rows only
+    latest = group.orderBy("_new", F.col("Date").desc(), *ties)
+    ranked = both.withColumns({"_touched": F.bool_or("_new").over(group), "_rank": F.row_number().over(latest)})
+    stays = F.col("_new") | ~F.col("_touched") | (F.col("_rank") > tail_n)
+    rest = [F.col(c).desc_nulls_last() for c in both.columns if c not in keys and c != "_new"]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy("_new", *rest))
+    left = ranked.where(stays).drop("_touched", "_rank").withColumn("_copy", first)
+    return left.where(F.col("_copy") == 1).drop("_copy", "_new")
 
 
 def merge_report(
     old: DataFrame, new: DataFrame, keys: Sequence[str] = PRICE_KEYS, tail_n: int = 2
 ) -> DataFrame:
-    """Rows deleted, updated and inserted per period by ``delete_tail_merge``."""
-    doomed = doomed_rows(old, new, keys, tail_n)
-    surviving = old.select(*keys).join(doomed, list(keys), "left_anti").withColumn("_old", F.lit(1))
-    merged = (
-        new.select(*keys)
-        .join(surviving, list(keys), "left")
-        .groupBy("period")
+    """Rows deleted, updated and inserted per period by ``delete_tail_merge``, from the frame that the merge filters."""
+    frame = _with_doomed(_laid_out(old.select(*keys), new.select(*keys), tail_n), tail_n)
+    is_new, doomed = F.col("_new"), F.col("_doomed")
+    updated = is_new & F.col("_met") & ~doomed
+    return (
+        frame.groupBy("period")
         .agg(
-            F.count("_old").alias("updated"),
-            F.count_if(F.col("_old").isNull()).alias("inserted"),
+            F.count_if(~is_new & F.col("_touched") & doomed).alias("deleted"),
+            F.count_if(updated).alias("updated"),
+            F.count_if(is_new & ~updated).alias("inserted"),
         )
-    )
-    deleted = doomed.groupBy("period").agg(F.count("*").alias("deleted"))
-    return (
-        merged.join(deleted, "period", "left")
-        .select("period", F.coalesce("deleted", F.lit(0)).alias("deleted"), "updated", "inserted")
         .withColumn("merged", F.col("updated") + F.col("inserted"))
+        .where("merged > 0")
     )
