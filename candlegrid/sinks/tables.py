@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,9 @@ from candlegrid.sources.tables import _hadoop_path
 
 VERSION = "version="
 CLAIM = "_claim="
+BUCKET = "_bucket"
+#: Ending of the folder in which replaced buckets are prepared.
+BESIDE = "__replaced"
 
 
 def date_first(df: DataFrame, column: str = "Date") -> DataFrame:
@@ -68,16 +71,28 @@ def read_current(spark: SparkSession, path: str, schema: T.StructType | None = N
     return (spark.read if schema is None else spark.read.schema(schema)).parquet(at)
 
 
+def _claims(fs, root) -> list[str]:
+    return [s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().startswith(CLAIM)]
+
+
 def _claim(spark: SparkSession, path: str) -> int:
-    """The number of the next version, held by a marker that only one writer can create."""
+    """The number of the next version, held by a marker that only one writer can create.
+
+    A table has one writer at a time: with another's marker there is no version to build on. What was listed before
+    the marker may be stale by then, so both are looked at again once it is there.
+    """
     fs, root = _hadoop_path(spark, path)
     fs.mkdirs(root)
-    taken = [int(s.getPath().getName()[len(CLAIM) :]) for s in fs.listStatus(root) if s.getPath().getName().startswith(CLAIM)]
-    known = [v for v, _ in _versions(spark, path)]
-    following = max([0, *known]) + 1
-    if following in taken:
-        raise FileExistsError(f"version {following} of {path} is being written; remove {CLAIM}{following:08d} if its writer was lost")
-    fs.create(spark._jvm.org.apache.hadoop.fs.Path(root, f"{CLAIM}{following:08d}"), False).close()
+    following = max([0, *(v for v, _ in _versions(spark, path))]) + 1
+    own = f"{CLAIM}{following:08d}"
+    busy = f"version {following} of {path} or one before it is being written; remove its {CLAIM} marker if the writer was lost"
+    if _claims(fs, root):
+        raise FileExistsError(busy)
+    marker = spark._jvm.org.apache.hadoop.fs.Path(root, own)
+    fs.create(marker, False).close()
+    if _claims(fs, root) != [own] or following <= max([0, *(v for v, _ in _versions(spark, path))]):
+        fs.delete(marker, False)
+        raise FileExistsError(busy)
     return following
 
 
@@ -95,8 +110,8 @@ def staged_update(
 
     A table cannot be overwritten while it is read, so each update writes a fresh
     version. The marker that a finished job leaves makes it current; a job lost half-way
-    leaves nothing current behind. Older versions beyond ``keep`` are removed. Of two
-    writers of one version the second fails.
+    leaves nothing current behind. Older versions beyond ``keep`` are removed, and what lost
+    writers left. While a table is being written, other writers fail.
 
     With ``batch`` the batch is written once beside the table and ``update`` gets
     (current table, stored batch): a merge reads its batch several times, and would
@@ -117,12 +132,76 @@ def staged_update(
     finally:
         fs.delete(path_of(beside), True)
         fs.delete(path_of(root, f"{CLAIM}{following:08d}"), False)
-    done = [v for v, complete in _versions(spark, path) if complete]
-    for v in done[: -max(keep, 1)]:
+    versions = _versions(spark, path)
+    done = [v for v, complete in versions if complete]
+    lost = [v for v, complete in versions if not complete and v < following]
+    for v in [*done[: -max(keep, 1)], *lost]:
         fs.delete(path_of(f"{path}/{VERSION}{v:08d}"), True)
     return target
 
 
+def bucket_of(column: str, buckets: int) -> Column:
+    """The bucket of a key: a partition that holds all its rows."""
+    return F.pmod(F.xxhash64(F.col(column)), F.lit(buckets)).cast("int")
+
+
+def write_buckets(df: DataFrame, path: str, key: str, buckets: int, sort_by: Sequence[str] = ()) -> None:
+    """A whole table partitioned by the bucket of ``key``."""
+    write_table(df.withColumn(BUCKET, bucket_of(key, buckets)), path, [BUCKET], sort_by, whole=True)
+
+
+def read_buckets(spark: SparkSession, path: str, held: Sequence[int] | None = None) -> DataFrame:
+    """A table written in buckets; with ``held`` only those are listed and read."""
+    df = spark.read.parquet(path)
+    if held is not None:
+        df = df.where(F.col(BUCKET).isin(list(held)))
+    return df.drop(BUCKET)
+
+
+def replace_keys(
+    spark: SparkSession, path: str, rows: DataFrame, changed: DataFrame, key: str, buckets: int, sort_by: Sequence[str] = ()
+) -> list[int]:
+    """Replace all rows of the keys in ``changed`` by ``rows``, and rewrite only the buckets they are in; returns these.
+
+    The other buckets are neither read nor written. The touched ones are written beside the table first, since a
+    table can't be overwritten while it is read, and then moved over them one by one; a call that was lost while moving is
+    finished by the next. ``rows`` may depend on the table. At most ``buckets`` numbers come to the driver.
+    """
+    fs, root = _hadoop_path(spark, path)
+    beside = f"{path}{BESIDE}"
+    _move_buckets(spark, beside, path)  # what a lost call had prepared
+    changed = changed.select(key).distinct()
+    held = sorted(r[0] for r in changed.select(bucket_of(key, buckets)).distinct().collect())
+    if not held:
+        return held
+    kept = read_buckets(spark, path, held).join(changed, key, "left_anti")
+    merged = kept.unionByName(rows.join(changed, key, "left_semi"))
+    write_buckets(merged, beside, key, buckets, sort_by)
+    full = _move_buckets(spark, beside, path)
+    for b in held:
+        if b not in full:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(root, f"{BUCKET}={b}"), True)
+    return held
+
+
+def _move_buckets(spark: SparkSession, beside: str, path: str) -> set[int]:
+    """Move the buckets of a finished write over those of a table; each stays beside it until it is there."""
+    fs, root = _hadoop_path(spark, path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(beside)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    moved = set()
+    if fs.exists(path_of(at, "_SUCCESS")):
+        for status in fs.listStatus(at):
+            name = status.getPath().getName()
+            if name.startswith(f"{BUCKET}="):
+                fs.delete(path_of(root, name), True)
+                if not fs.rename(status.getPath(), path_of(root, name)):
+                    raise OSError(f"{name} of {beside} could not be moved")
+                moved.add(int(name[len(BUCKET) + 1 :]))
+    fs.delete(at, True)
+    return moved
+
+
 def write_jdbc_staging(df: DataFrame, url: str, table: str, **options: str) -> None:
     """Load a warehouse staging table, replacing it. Needs the driver jar; not exercised here."""
     df.write.mode("overwrite").format("jdbc").options(url=url, dbtable=table, **options).save()

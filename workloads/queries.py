@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlegrid.config import PERIODS, IndicatorSpec, PeriodConfig, period
@@ -20,6 +20,7 @@ from candlegrid.plans import reports
 from candlegrid.plans.conclusion import asof_period, entry_conclusion
 from candlegrid.plans.fundamentals import normalise, price_ratios
 from candlegrid.plans.gold import analyse, period_series
+from candlegrid.plans.incremental import changed_tickers, refreshed, ticker_digests
 from candlegrid.sinks.export import export_table
 from candlegrid.sources.incremental import read_changed_files
 from candlegrid.sources.symbols import symbols_from_json
@@ -210,6 +211,17 @@ for _name, _columns in SIGNAL_GROUPS.items():
 _GOLD_SHOWN = {"ADX": 4, "MACD_hist": 4, "ATR": 6, "EMA26": 4, "FI_13": 4, "upperband": 4, "EMA13_slope": 4}
 
 
+FOR_GOLD = PeriodConfig()
+
+
+def _gold_shown(gold: DataFrame) -> DataFrame:
+    return gold.select(
+        "ticker", "period", "Date", "Close", "Volume",
+        *(F.round(c, d).alias(c) for c, d in _GOLD_SHOWN.items()),
+        _shape("price_search"), "EMA_bullbear", "Side_1", "Side_2", "Side_3",
+    )
+
+
 @register(
     "gold",
     f"""WITH RECURSIVE {o.SIGNALS} SELECT ticker, period, "Date", c AS "Close", v AS "Volume",
@@ -217,12 +229,52 @@ _GOLD_SHOWN = {"ADX": 4, "MACD_hist": 4, "ATR": 6, "EMA26": 4, "FI_13": 4, "uppe
     CAST("price_search" AS DOUBLE) AS "price_search", "EMA_bullbear", "Side_1", "Side_2", "Side_3" FROM signals""",
 )
 def _(spark, sf):
-    out = analyse(period_series(derive.bars(spark, sf)))
-    return out.select(
-        "ticker", "period", "Date", "Close", "Volume",
-        *(F.round(c, d).alias(c) for c, d in _GOLD_SHOWN.items()),
-        _shape("price_search"), "EMA_bullbear", "Side_1", "Side_2", "Side_3",
-    )
+    return _gold_shown(analyse(period_series(derive.bars(spark, sf)), FOR_GOLD))
+
+
+# --- gold by changed tickers ------------------------------------------------------------------
+def _earlier_bars(spark: SparkSession, sf: str) -> DataFrame:
+    """The bars as an earlier run saw them: some tickers lacked their first or last days, some weren't there, some are gone now."""
+    bars = derive.bars(spark, sf)
+    number = F.substr("ticker", F.lit(2)).cast("bigint")
+    day = F.row_number().over(Window.partitionBy("ticker").orderBy("Date"))
+    late = F.col("Date") > F.date_sub(derive.bars_as_of(spark, sf), 30)
+    seen = bars.withColumn("_day", day).where(~((number % 7 == 0) & (F.col("_day") <= 5)) & ~((number % 7 == 1) & late)).drop("_day")
+    gone = bars.where(number % 13 == 5).withColumn("ticker", F.concat(F.lit("X"), "ticker"))
+    return seen.where(number % 11 != 3).unionByName(gone)
+
+
+_EARLIER = f"""{o.BARS},
+numbered AS (SELECT *, CAST(substr(ticker, 2) AS BIGINT) AS num, row_number() OVER (PARTITION BY ticker ORDER BY "Date") AS day FROM bars),
+earlier AS (SELECT ticker, "Date", "Close", "Volume" FROM numbered WHERE NOT (num % 7 = 0 AND day <= 5) AND num % 11 <> 3
+    AND NOT (num % 7 = 1 AND "Date" > (SELECT CAST(max(l_shipdate) AS DATE) - 30 FROM lineitem))
+  UNION ALL SELECT 'X' || ticker, "Date", "Close", "Volume" FROM numbered WHERE num % 13 = 5),
+later AS (SELECT ticker, "Date", "Close", "Volume" FROM bars),
+firsts AS (SELECT ticker, min("Date") AS was FROM earlier GROUP BY ticker),
+lasts AS (SELECT ticker, min("Date") AS now FROM later GROUP BY ticker),
+differing AS (SELECT DISTINCT ticker FROM (
+  (SELECT * FROM earlier EXCEPT ALL SELECT * FROM later) UNION ALL (SELECT * FROM later EXCEPT ALL SELECT * FROM earlier)))"""
+
+
+@register(
+    "changed_tickers",
+    f"""WITH {_EARLIER} SELECT ticker, CASE WHEN was IS NULL THEN 'new' WHEN now IS NULL THEN 'gone' WHEN was <> now THEN 'moved' ELSE 'changed' END AS change
+    FROM differing LEFT JOIN firsts USING (ticker) LEFT JOIN lasts USING (ticker)""",
+)
+def _(spark, sf):
+    return changed_tickers(ticker_digests(_earlier_bars(spark, sf)), ticker_digests(derive.bars(spark, sf)))
+
+
+@register("gold_refreshed", SQL["gold"])
+def _(spark, sf):
+    """The gold of an earlier run with only the changed tickers built anew is the gold of all bars."""
+
+    def shown(bars):
+        return analyse(period_series(bars), FOR_GOLD)
+
+    now, before = derive.bars(spark, sf), _earlier_bars(spark, sf)
+    changed = changed_tickers(ticker_digests(before), ticker_digests(now))
+    return _gold_shown(refreshed(shown(before), now, changed, shown))
 
 
 @register(
