@@ -7,12 +7,43 @@ each side is read once or twice however many rules look at it. A series has at m
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 PRICE_KEYS = ("Date", "ticker", "period")
+
+
+@dataclass(frozen=True)
+class MergeKeys:
+    """What ``delete_tail_merge`` goes by: a series' columns, the column that orders it, and the columns within which a
+    series' latest values are deleted for all series of the batch (a part of the series' columns, none for all rows)."""
+
+    series: tuple[str, ...] = ("ticker", "period")
+    order: str = "Date"
+    within: tuple[str, ...] = ("period",)
+
+    def __post_init__(self) -> None:
+        if not self.series or self.order in self.series or not set(self.within) <= set(self.series):
+            raise ValueError(f"unusable merge keys: {self}")
+
+    @property
+    def keys(self) -> tuple[str, ...]:
+        return (self.order, *self.series)
+
+    @staticmethod
+    def from_mapping(given: Mapping[str, object]) -> MergeKeys:
+        """From plain data, as in a settings file: series (one name or several), order, within."""
+        unknown = set(given) - {"series", "order", "within"}
+        if unknown:
+            raise ValueError(f"unknown merge keys: {sorted(unknown)}")
+        names = {k: ((v,) if isinstance(v, str) else tuple(v)) if k != "order" else v for k, v in given.items()}
+        return MergeKeys(**names)
+
+
+PRICE_MERGE = MergeKeys()
 #: Calendar days of 150 years: no period can have more dates.
 MOST_DAYS = 55_000
 POLICIES = ("overwrite", "keep_old", "mark_inactive", "delete_tail_merge")
@@ -39,6 +70,7 @@ def upsert(
     tail_n: int = 2,
     tail_keys: Sequence[str] = ("ticker",),
     active_column: str = "is_active",
+    merge: MergeKeys = PRICE_MERGE,
 ) -> DataFrame:
     """Old rows and a new batch merged under ``policy``; ``old=None`` is the first run.
 
@@ -47,7 +79,8 @@ def upsert(
     * ``keep_old``: the latest ``tail_n`` old rows of each ticker in the batch are
       provisional and dropped; otherwise an old row wins over a new one.
     * ``delete_tail_merge``: per period, old rows of batch tickers on any of those
-      tickers' latest ``tail_n`` dates are dropped; otherwise a new row wins.
+      tickers' latest ``tail_n`` dates are dropped; otherwise a new row wins. ``merge`` says
+      what stands for period, ticker and date; its columns are the keys.
     """
     if policy not in POLICIES:
         raise ValueError(f"unknown policy {policy!r}, expected one of {POLICIES}")
@@ -58,48 +91,80 @@ def upsert(
     if policy == "keep_old":
         return _keep_old(old, new, keys, tail_n, tail_keys)
     if policy == "delete_tail_merge":
-        laid = _laid_out(old, new, tail_n)
-        gone = F.col("_met") | (F.col("_touched") & F.col("_doomed"))
-        return _with_doomed(laid, tail_n).where(F.col("_new") | ~gone).select(*old.columns)
+        return _survivors(_merge_frame(with_keys(old, merge.keys, "old"), with_keys(new, merge.keys, "new"), merge, tail_n), old.columns)
     kept = old.join(new.select(*keys), list(keys), "left_anti")
     if policy == "mark_inactive":
         kept = kept.withColumn(active_column, F.lit(False))
     return kept.unionByName(new)
 
 
-def _laid_out(old: DataFrame, new: DataFrame, tail_n: int) -> DataFrame:
-    """Old and new rows by (ticker, period), with what a merge asks of them.
+def _merge_frame(old: DataFrame, new: DataFrame, by: MergeKeys, tail_n: int) -> DataFrame:
+    """Old and new rows by series, with what a merge asks of them.
+
+    _new; _touched: the batch has rows of the series; _met: the other side has a row of this key; _doomed: a batch series
+    of the row's part has one of its latest ``tail_n`` old rows on this day.
 
-    _new; _touched: the batch has rows of the series; _met: the other side has a row of this day; _rank: of an old
-    row, 1 for the series' latest.
+    There are at most as many days in a part as calendar days; that bound is checked as the query runs, and the
+    days are sent to every task, so that the rows of one day, which all tickers share, need not meet in one task.
     """
     both = old.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
-    series = Window.partitionBy("ticker", "period")
-    by_day = series.orderBy("Date")
+    series = Window.partitionBy(*by.series)
+    by_day = series.orderBy(by.order)
     same_day = by_day.rangeBetween(Window.currentRow, Window.currentRow)
     later = by_day.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return both.withColumns(
+    laid = both.withColumns(
         {
             "_touched": F.bool_or("_new").over(series),
             "_met": F.when(F.col("_new"), ~F.bool_and("_new").over(same_day)).otherwise(F.bool_or("_new").over(same_day)),
             "_rank": F.count_if(~F.col("_new")).over(later),
         }
     )
+    tail = laid.where(~F.col("_new") & F.col("_touched") & (F.col("_rank") <= tail_n))
+    days = tail.groupBy(*by.within, by.order).agg(F.lit(True).alias("_doomed"))
+    part = F.concat_ws("/", F.lit(""), *(F.col(c).cast("string") for c in by.within))
+    counted = days.groupBy(part.alias("_part")).agg(F.count("*").alias("_days"))
+    few = F.when(F.col("_days") > MOST_DAYS, F.raise_error(F.lit("more dates than calendar days")).cast("boolean")).otherwise(True)
+    bounded = days.withColumn("_part", part).join(F.broadcast(counted.where(few).select("_part")), "_part").drop("_part")
+    joined = laid.join(F.broadcast(bounded), [*by.within, by.order], "left")
+    return joined.withColumn("_doomed", F.coalesce("_doomed", F.lit(False)))
+
 
+def _survivors(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    gone = F.col("_met") | (F.col("_touched") & F.col("_doomed"))
+    return frame.where(F.col("_new") | ~gone).select(*columns)
 
-def _with_doomed(laid: DataFrame, tail_n: int) -> DataFrame:
-    """``laid`` with _doomed: a batch series of the row's period has one of its latest ``tail_n`` old rows on this day.
 
-    There are at most as many (period, Date) pairs as calendar days; that bound is checked as the query runs, and the
-    pairs are sent to every task, so that the rows of one day, which all tickers share, need not meet in one task.
+def _outcomes() -> dict[str, Column]:
+    """Per row of a merge frame, whether it counts as deleted, updated or inserted."""
+    is_new, doomed = F.col("_new"), F.col("_doomed")
+    updated = is_new & F.col("_met") & ~doomed
+    return {"deleted": ~is_new & F.col("_touched") & doomed, "updated": updated, "inserted": is_new & ~updated}
+
+
+def observed_merge(
+    old: DataFrame, new: DataFrame, name: str, values: Sequence[str], tail_n: int = 2, merge: MergeKeys = PRICE_MERGE, by: str = "period"
+) -> tuple[DataFrame, Observation]:
+    """``delete_tail_merge`` and its report as a by-product: counters run along as the merged rows are written.
+
+    ``values`` are the values of ``by`` that are reported. After the write, ``merge_counts`` reads the observation.
     """
-    tail = laid.where(~F.col("_new") & F.col("_touched") & (F.col("_rank") <= tail_n))
-    dates = tail.select("period", "Date").distinct()
-    counted = dates.groupBy("period").agg(F.count("*").alias("_days"))
-    few = F.when(F.col("_days") > MOST_DAYS, F.raise_error(F.lit("more dates than calendar days")).cast("boolean")).otherwise(True)
-    bounded = dates.join(F.broadcast(counted.where(few).select("period")), "period").withColumn("_doomed", F.lit(True))
-    joined = laid.join(F.broadcast(bounded), ["period", "Date"], "left")
-    return joined.withColumn("_doomed", F.coalesce("_doomed", F.lit(False)))
+    observation = Observation(name)
+    counters = []
+    for value in values:
+        here = F.coalesce(F.col(by) == value, F.lit(False))
+        counters += [F.count_if(here & told).alias(f"{value}.{what}") for what, told in _outcomes().items()]
+    frame = _merge_frame(with_keys(old, merge.keys, "old"), with_keys(new, merge.keys, "new"), merge, tail_n)
+    return _survivors(frame.observe(observation, *counters), old.columns), observation
+
+
+def merge_counts(observation: Observation) -> list[tuple[str, int, int, int, int]]:
+    """(value, deleted, updated, inserted, merged) of a finished merge; values without new rows are left out."""
+    told: dict[str, dict[str, int]] = {}
+    for name, count in observation.get.items():
+        value, _, what = name.rpartition(".")
+        told.setdefault(value, {})[what] = count
+    rows = [(v, c["deleted"], c["updated"], c["inserted"], c["updated"] + c["inserted"]) for v, c in told.items()]
+    return [r for r in rows if r[4]]
 
 
 def _keep_old(
@@ -123,17 +188,11 @@ def _keep_old(
 def merge_report(
     old: DataFrame, new: DataFrame, keys: Sequence[str] = PRICE_KEYS, tail_n: int = 2
 ) -> DataFrame:
-    """Rows deleted, updated and inserted per period by ``delete_tail_merge``, from the frame that the merge filters."""
-    frame = _with_doomed(_laid_out(old.select(*keys), new.select(*keys), tail_n), tail_n)
-    is_new, doomed = F.col("_new"), F.col("_doomed")
-    updated = is_new & F.col("_met") & ~doomed
+    """Rows deleted, updated and inserted per period by ``delete_tail_merge``, without merging."""
+    frame = _merge_frame(old.select(*keys), new.select(*keys), PRICE_MERGE, tail_n)
     return (
         frame.groupBy("period")
-        .agg(
-            F.count_if(~is_new & F.col("_touched") & doomed).alias("deleted"),
-            F.count_if(updated).alias("updated"),
-            F.count_if(is_new & ~updated).alias("inserted"),
-        )
+        .agg(*(F.count_if(told).alias(what) for what, told in _outcomes().items()))
         .withColumn("merged", F.col("updated") + F.col("inserted"))
         .where("merged > 0")
     )

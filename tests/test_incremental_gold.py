@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from candlegrid.operators.upsert import MergeKeys, merge_counts, observed_merge
 from candlegrid.plans.gold import build_gold
 from candlegrid.plans.incremental import MEASURES, changed_tickers, refresh_gold, ticker_digests
 from candlegrid.sinks import tables
@@ -111,3 +112,27 @@ def test_a_table_being_written_has_no_second_writer(spark, tmp_path):
 
     staged_update(spark, path, update)
     assert tables.read_current(spark, path).count() == 1
+
+
+def test_merge_keys_from_data():
+    assert MergeKeys.from_mapping({}) == MergeKeys(("ticker", "period"), "Date", ("period",))
+    by = MergeKeys.from_mapping({"series": "cik", "order": "created_at", "within": ()})
+    assert by.keys == ("created_at", "cik") and by.within == ()
+    for wrong in ({"series": []}, {"series": "a", "order": "a"}, {"within": ["x"]}, {"key": "a"}):
+        with pytest.raises(ValueError):
+            MergeKeys.from_mapping(wrong)
+
+
+def test_merge_over_other_keys_reports_as_it_writes(spark):
+    kind = "created_at int, cik long, part string, v int"
+    old = spark.createDataFrame([(d, c, p, 0) for d in (1, 2, 3) for c in (1, 2, 3) for p in "ab"], kind)
+    new = spark.createDataFrame([(1, 1, "a", 9), (3, 1, "a", 9), (4, 1, "a", 9), (2, 2, "b", 9)], kind)
+    by = MergeKeys(("cik", "part"), "created_at", ("part",))
+    merged, seen = observed_merge(old, new, "m", ["a", "b"], 1, by, "part")
+    got = {(r.created_at, r.cik, r.part): r.v for r in merged.collect()}
+    # part a: day 3 of cik 1 goes; part b: day 3 of cik 2
+    want = {(r.created_at, r.cik, r.part): r.v for r in old.collect()}
+    del want[3, 1, "a"], want[3, 2, "b"]
+    want |= {(r.created_at, r.cik, r.part): r.v for r in new.collect()}
+    assert got == want
+    assert merge_counts(seen) == [("a", 1, 1, 2, 3), ("b", 1, 1, 0, 1)]

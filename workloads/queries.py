@@ -15,7 +15,7 @@ from candlegrid.operators.clean import clean_bars, clean_report, last_bar_per_da
 from candlegrid.operators.indicators import indicators
 from candlegrid.operators.resample import resample
 from candlegrid.operators.screen import screen
-from candlegrid.operators.upsert import merge_report, upsert
+from candlegrid.operators.upsert import MergeKeys, merge_counts, merge_report, observed_merge, upsert
 from candlegrid.plans import reports
 from candlegrid.plans.conclusion import asof_period, entry_conclusion
 from candlegrid.plans.fundamentals import normalise, price_ratios
@@ -560,6 +560,30 @@ def _(spark, sf):
     return merge_report(*_prices_old_new(spark, sf))
 
 
+@register("merge_observed", SQL["merge_report"])
+def _(spark, sf):
+    """The report as it falls out of the run that merges."""
+    merged, seen = observed_merge(*_prices_old_new(spark, sf), "merge", [p.code for p in PERIODS])
+    merged.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(merge_counts(seen), "period string, deleted long, updated long, inserted long, merged long")
+
+
+@register(
+    "merge_fundamentals",
+    f"""WITH {_FUND},
+    tail AS (SELECT DISTINCT created_at FROM (SELECT * FROM fund_old SEMI JOIN fund_new USING (ticker))
+      QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY created_at DESC) <= 1),
+    doomed AS (SELECT * FROM fund_old SEMI JOIN fund_new USING (ticker) SEMI JOIN tail USING (created_at))
+    SELECT * FROM fund_new UNION ALL
+    SELECT * FROM fund_old ANTI JOIN doomed USING (ticker, created_at) ANTI JOIN fund_new USING (ticker, created_at)""",
+)
+def _(spark, sf):
+    """The same policy over other keys, given as data: no part, one series per ticker, ordered by created_at."""
+    old, new = _fund_old_new(spark, sf)
+    by = MergeKeys.from_mapping({"series": "ticker", "order": "created_at", "within": []})
+    return upsert(old, new, by.keys, "delete_tail_merge", tail_n=1, merge=by)
+
+
 @register(
     "union_report",
     f"""WITH {_keep_old_ctes("ticker", ", period DESC")}
