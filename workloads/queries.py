@@ -8,18 +8,19 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlegrid.config import PERIODS, IndicatorSpec, PeriodConfig, period
+from candlegrid.config import DEFAULT_INDICATORS, DEFAULT_SIGNALS, PERIODS, IndicatorSpec, PeriodConfig, period
 from candlegrid.functions.calendar import local_date
 from candlegrid.functions.numeric import truncate
 from candlegrid.operators.clean import clean_bars, clean_report, last_bar_per_day
-from candlegrid.operators.indicators import indicators
+from candlegrid.operators.indicators import indicator_columns, indicators
 from candlegrid.operators.resample import resample
 from candlegrid.operators.screen import screen
+from candlegrid.operators.signals import signal_names
 from candlegrid.operators.upsert import MergeKeys, merge_counts, merge_report, observed_merge, upsert
 from candlegrid.plans import reports
 from candlegrid.plans.conclusion import asof_period, entry_conclusion
 from candlegrid.plans.fundamentals import normalise, price_ratios
-from candlegrid.plans.gold import analyse, period_series
+from candlegrid.plans.gold import analyse, build_gold, period_series
 from candlegrid.plans.incremental import changed_tickers, refreshed, ticker_digests
 from candlegrid.sinks.export import export_table
 from candlegrid.sources.incremental import read_changed_files
@@ -232,6 +233,43 @@ def _(spark, sf):
     return _gold_shown(analyse(period_series(derive.bars(spark, sf)), FOR_GOLD))
 
 
+_PRICE_COLUMNS = ("Open", "High", "Low", "Close", "Adj Close", "Volume", "Dividends", "Stock Splits")
+_MEANS = ("SMA50", "SMA200")
+_CUT = tuple(c for c in (*indicator_columns(DEFAULT_INDICATORS), "EMA13_slope", "FI_13_diff") if c not in _MEANS)
+_WORDS = tuple(c for c in signal_names(DEFAULT_SIGNALS) if c not in ("EMA13_slope", "FI_13_diff", "price_search"))
+
+
+def _flat(column: str) -> str:
+    return column.replace(" ", "_")
+
+
+@register(
+    "gold_stored",
+    f"""WITH RECURSIVE {o.SIGNALS},
+    bare AS (SELECT *, NULL::DOUBLE AS "Dividends", NULL::DOUBLE AS "Stock Splits" FROM series WHERE period <> 'D' UNION ALL
+      SELECT s.*, b."Dividends", 0.0 FROM series s JOIN bars b ON b.ticker = s.ticker AND b."Date" = s.label WHERE s.period = 'D')
+    SELECT s.ticker, s.period, s."Date", (SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem) AS created_at,
+      {", ".join(f'trunc(b."{c}" * 100) / 100 + 0.0 AS "{_flat(c)}"' for c in _PRICE_COLUMNS)},
+      {", ".join(f'trunc(s."{c}" * 100) / 100 + 0.0 AS "{c}"' for c in _CUT)},
+      {", ".join(f'round(s."{c}" / 100) AS "{c}"' for c in _MEANS)},
+      CAST(s."price_search" AS DOUBLE) AS "price_search", {", ".join(f's."{c}"' for c in _WORDS)}
+    FROM signals s JOIN bare b ON b.ticker = s.ticker AND b.period = s.period AND s."Date" = b.label""",
+)
+def _(spark, sf):
+    """All 60 columns as they are stored, cut at two places.
+
+    Means over 50 and 200 rows are shown in hundreds: prices have two places, so a mean often lies on a place itself, and
+    a sum in another order then falls on the other side of the cut. ``sma`` compares them to six places, uncut.
+    """
+    gold = build_gold(derive.bars(spark, sf))
+    return gold.select(
+        "ticker", "period", "Date", F.to_date("created_at").alias("created_at"),
+        *(F.col(c).alias(_flat(c)) for c in (*_PRICE_COLUMNS, *_CUT)),
+        *(F.round(F.col(c) / 100).alias(c) for c in _MEANS),
+        _shape("price_search"), *_WORDS,
+    )
+
+
 # --- gold by changed tickers ------------------------------------------------------------------
 def _earlier_bars(spark: SparkSession, sf: str) -> DataFrame:
     """The bars as an earlier run saw them: some tickers lacked their first or last days, some weren't there, some are gone now."""
