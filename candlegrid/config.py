@@ -142,6 +142,39 @@ class SignalSpec:
     bear_column: str = "Bear_Power"
     sides: tuple[str, str, str] = ("Side_1", "Side_2", "Side_3")
 
+    @classmethod
+    def from_mapping(cls, params: Mapping[str, object] | None) -> SignalSpec:
+        """Build a spec from the keyed-dict form; what is left out keeps its default, other keys are refused."""
+        params, made = dict(params or {}), {}
+        for key, name in _SIGNAL_KEYS.items():
+            if key in params:
+                made[name] = params.pop(key)
+        pair, least = params.pop("indicator_pair_1", None), params.pop("pair_1_threshold", None)
+        if pair is not None or least is not None:
+            names, levels = zip(*cls.divergence_1, strict=True)
+            made["divergence_1"] = tuple(zip(pair or names, map(float, least or levels), strict=True))
+        if "indicator_pair_2" in params:
+            made["trend_column"], made["force_column"] = params.pop("indicator_pair_2")
+        if "indicator_pair_3" in params:
+            made["bull_column"], made["bear_column"] = params.pop("indicator_pair_3")
+        sides = [params.pop(f"side_pair_{i}", name) for i, name in enumerate(cls.sides, 1)]
+        if params:
+            raise ValueError(f"unknown signal parameters: {sorted(params)}")
+        return cls(**made, sides=tuple(sides))
+
+
+# fixed values: keys of the keyed-dict form, and the fields that they set
+_SIGNAL_KEYS = {
+    "ema_short": "ema_short",
+    "ema_long": "ema_long",
+    "input_price_1": "price",
+    "extrema_price_gap": "price_gap",
+    "extrema_FI_2_gap": "force_gap",
+    "extrema_price_prominence": "price_prominence",
+    "extrema_FI_2_prominence": "force_prominence",
+    "search_quantity": "lookback",
+}
+
 
 DEFAULT_INDICATORS = IndicatorSpec()
 DEFAULT_SIGNALS = SignalSpec()
@@ -153,3 +186,9 @@ class PeriodConfig:
 
     indicators: IndicatorSpec = field(default_factory=IndicatorSpec)
     signals: SignalSpec = field(default_factory=SignalSpec)
+
+    @classmethod
+    def from_mapping(cls, indicators: Mapping[str, Mapping] | None = None, signals: Mapping[str, object] | None = None) -> PeriodConfig:
+        """From the keyed-dict forms of both; without indicators the defaults run."""
+        chosen = IndicatorSpec() if indicators is None else IndicatorSpec.from_mapping(indicators)
+        return cls(chosen, SignalSpec.from_mapping(signals))
