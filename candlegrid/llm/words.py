@@ -13,6 +13,8 @@ import pyarrow as pa
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))  # fixed values: multipliers of the splitmix64 finaliser
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # fixed value: its increment
+#: Places of a word whose values are kept.
+_NEAR = 64
 BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -62,6 +64,17 @@ def _byte_values() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
 
 
+def _placed(place: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """What a byte at a place of a word adds to its hash."""
+    return mix(place.astype(np.uint64) * _STEP ^ _byte_values()[byte])
+
+
+@lru_cache(maxsize=1)
+def _placed_values() -> np.ndarray:
+    """The same for the first places, by place and byte."""
+    return _placed(np.repeat(np.arange(_NEAR), 256), np.tile(np.arange(256), _NEAR))
+
+
 @dataclass
 class Words:
     """Words of consecutive texts: bytes, and per word its first byte, length, text and 64-bit hash; first_word: per text, and the end."""
@@ -104,9 +117,13 @@ def words_of(texts: pa.Array, alphabet: Alphabet) -> Words:
         return Words(alphabet, data, offsets, none, none, none, np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64))
     lengths = np.add.reduceat(inside, starts, dtype=np.int64)
     # a word's hash adds up one spread value per byte and its place in the word, so no pattern of letters cancels out
-    place = np.arange(len(data))
-    place[starts[0] :] -= np.repeat(starts, np.diff(starts, append=len(data)))
-    values = mix(place.astype(np.uint64) * _STEP ^ _byte_values()[alphabet.value[data]])
+    place = np.arange(len(data), dtype=np.int32)
+    place[starts[0] :] -= np.repeat(starts.astype(np.int32), np.diff(starts, append=len(data)))
+    shown = alphabet.value[data]
+    values = _placed_values()[np.minimum(place, _NEAR - 1) << 8 | shown]
+    far = np.flatnonzero((place >= _NEAR) & inside)
+    if len(far):
+        values[far] = _placed(place[far], shown[far])
     values[~inside] = 0
     hashes = mix(np.add.reduceat(values, starts) + lengths.astype(np.uint64) * _STEP)
     doc = np.searchsorted(offsets, starts, "right") - 1
