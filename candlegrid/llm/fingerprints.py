@@ -1,12 +1,18 @@
 """Document fingerprints as invertible Bloom lookup sketches, in DataFrame functions only.
 
-A text is cut into paragraphs: its lines, except that the first `HEAD` code points are cut finely, every `PIECE`
-of them and at line ends, so that short texts too have several. The digests of the distinct paragraphs go into the cells of a sketch, each into one cell of each of three rows; a cell holds a
+A text is cut into paragraphs at line ends and behind words chosen by the hash of the word and the one before it,
+one in `WORDS` on average. An unbroken stretch of more than `LONG` code points is cut in the same way behind code
+points chosen by the hash of `WINDOW` of them, one in `POINTS`. Where a text is cut depends on what stands there and not on its place, so
+an insertion changes the paragraphs around it and no others; a stretch in which nothing is chosen, as when few
+words repeat, stays one paragraph.
+
+The digests of the distinct paragraphs go into the cells of a sketch, each into one cell of each of three rows; a cell holds a
 count, the digests' XOR and the XOR of their check values. Subtracting one version's cells from the other's leaves
 the differing digests alone. Peeling takes out what stands alone in a cell, until nothing is left. If something
-is left, the comparison is tried again with more cells: first the digests are dealt to buckets by their hash, as
-many as the two texts' sizes call for, each with a sketch of its own, then a bucket that still fails is sketched
-four and sixteen times as large. A bucket that fails even then is compared digest by digest.
+is left, both versions are sketched anew with more cells and subtracted again: first their digests are dealt to buckets by
+their hash, as many as the two texts' sizes call for, each with a sketch of its own, then a bucket that still fails is sketched
+larger by the steps of `WIDTHS`. Two digests that share their cells in all rows even then, of a chance of about one in
+a thousand million a pair, would be left; such a bucket is compared digest by digest.
 """
 
 from __future__ import annotations
@@ -18,10 +24,12 @@ from pyspark.sql import functions as F
 
 from candlegrid.llm.batches import stored
 
-#: Code points at a text's beginning that are cut finely, and of a paragraph there.
-HEAD, PIECE = 512, 64
+#: A word in so many ends a paragraph, and a code point in so many of an unbroken stretch; both powers of two.
+WORDS, POINTS = 8, 32
+#: Code points of an unbroken stretch beyond which it is cut inside, and of a window that chooses a cut there.
+LONG, WINDOW = 64, 4
 #: Cells in each of a sketch's three rows, at first and on later attempts.
-WIDTHS = (8, 32, 128)
+WIDTHS = (8, 32, 128, 1024)
 #: Digests of both texts that a bucket should hold at most, on average.
 PER_BUCKET = 9
 #: Rounds of peeling; each takes out all that stand alone.
@@ -41,12 +49,40 @@ def _named(**fields: Column) -> Column:
     return F.named_struct(*[x for name, value in fields.items() for x in (F.lit(name), value)])
 
 
+def _one_in(n: int, *of: Column) -> Column:
+    return F.xxhash64(*of).bitwiseAND(F.lit(n - 1).cast("long")) == 0
+
+
+def _unbroken(word: Column) -> Column:
+    """A long word with a line end behind each chosen code point."""
+
+    def marked(points: Column) -> Column:
+        def mark(c: Column, i: Column) -> Column:
+            window = [F.get(points, i - back) for back in range(WINDOW - 1, 0, -1)]
+            return F.when(_one_in(POINTS, *window, c), F.concat(c, F.lit("\n"))).otherwise(c)
+
+        return F.array_join(F.transform(points, mark), "")
+
+    return F.when(F.length(word) > LONG, _let(F.split(word, ""), marked)).otherwise(word)
+
+
+def paragraphs(text: Column) -> Column:
+    """The text's paragraphs in order, none empty. Null has none."""
+
+    def marked(words: Column) -> Column:
+        def mark(w: Column, i: Column) -> Column:
+            return F.concat(_unbroken(w), F.when(_one_in(WORDS, F.get(words, i - 1), w), F.lit("\n")).otherwise(F.lit(" ")))
+
+        return F.array_join(F.transform(words, mark), "")
+
+    whole = F.coalesce(text, F.lit(""))
+    cut = _let(F.split(whole, " "), marked)
+    return F.when(whole == "", F.array().cast("array<string>")).otherwise(F.filter(F.split(cut, "\n"), lambda p: F.trim(p) != ""))
+
+
 def paragraph_digests(text: Column) -> Column:
     """Digests of the distinct paragraphs. Null has none."""
-    whole = F.coalesce(text, F.lit(""))
-    fine = F.regexp_extract_all(F.substring(whole, 1, HEAD), F.lit(r"[^\n]{1,%d}" % PIECE), F.lit(0))
-    lines = F.filter(F.split(F.substring(whole, HEAD + 1, 2**31 - 1), "\n"), lambda p: p != "")
-    return F.array_distinct(F.transform(F.concat(fine, lines), lambda p: F.xxhash64(p)))
+    return F.array_distinct(F.transform(paragraphs(text), lambda p: F.xxhash64(p)))
 
 
 def _check(key: Column) -> Column:
@@ -123,8 +159,7 @@ def peel(cells: Column, width: int) -> Column:
 
 
 def _bucket_difference(a: Column, b: Column) -> Column:
-    # the sketch of a with the digests of b taken out at once is the one less the other
-    attempts = [peel(sketch(F.concat(signed(a, 1), signed(b, -1)), w), w) for w in WIDTHS]
+    attempts = [peel(subtract(sketch(signed(a, 1), w), sketch(signed(b, 1), w)), w) for w in WIDTHS]
     return F.coalesce(*attempts, _named(a=F.array_except(a, b), b=F.array_except(b, a)))
 
 
@@ -159,12 +194,16 @@ def likeness(a: Column, b: Column, only: Column) -> Column:
 
 
 def shown(cells: Column) -> Column:
-    """A sketch as text: per cell two digits of the count, eight of the digests and four of the checks."""
+    """A sketch as text, cell by cell: count, digests and checks, the last two as 16 hex digits; an empty cell is empty.
+
+    Nothing is shortened: two such texts can be read, subtracted and peeled.
+    """
 
-    def digits(value: Column, n: int) -> Column:
-        return F.lpad(F.lower(F.hex(value.bitwiseAND(F.lit((1 << 4 * n) - 1).cast("long")))), n, "0")
+    def digits(value: Column) -> Column:
+        return F.lpad(F.lower(F.hex(value)), 16, "0")
 
-    return F.array_join(F.transform(cells, lambda c: F.concat(digits(c["n"], 2), digits(c["key"], 8), digits(c["check"], 4))), "")
+    empty = lambda c: (c["n"] == 0) & (c["key"] == 0)
+    return F.array_join(F.transform(cells, lambda c: F.when(empty(c), F.lit("")).otherwise(F.concat_ws(":", c["n"].cast("string"), digits(c["key"]), digits(c["check"])))), ",")
 
 
 # ---- documents and their successors ----

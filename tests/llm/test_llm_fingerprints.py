@@ -4,16 +4,34 @@ import hashlib
 import random
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from candlegrid.llm import fingerprints
-from candlegrid.llm.fingerprints import HEAD, PIECE, compared, difference, signed, sketch
+from candlegrid.llm.fingerprints import LONG, POINTS, WIDTHS, WINDOW, WORDS, compared, difference, signed, sketch
+from candlegrid.llm.fingerprints import paragraphs as paragraphs_of
+
+MASK = 2**64 - 1
+
+
+def xx(*parts):
+    """Hash of several values, each seeded by the one before; missing ones leave the seed as it is."""
+    h = 42
+    for p in parts:
+        if p is not None:
+            h = xxhash.xxh64_intdigest(p.encode() if isinstance(p, str) else p, h)
+    return h
 
 
 def paragraphs(text):
-    head, rest = text[:HEAD], text[HEAD:]
-    fine = [line[i : i + PIECE] for line in head.split("\n") for i in range(0, len(line), PIECE)]
-    return {*fine, *[line for line in rest.split("\n") if line]}
+    words, out = text.split(" "), ""
+    for k, w in enumerate(words):
+        for i, c in enumerate(w):
+            out += c
+            if len(w) > LONG and xx(*w[max(0, i - WINDOW + 1) : i + 1]) % POINTS == 0:
+                out += "\n"
+        out += "\n" if xx(words[k - 1] if k else None, w) % WORDS == 0 else " "
+    return {p for p in out.split("\n") if p.strip(" ")} if text else set()
 
 
 def jaccard(a, b):
@@ -70,3 +88,76 @@ def test_copies_and_empty(spark):
     assert [(r.doc_id, r.edited_sha256, r.near_next) for r in rows] == [(3, sha("xya"), 0.0), (7, sha("abx"), 0.0), (7, sha("aba"), 1.0), (7, sha("aba"), 1.0)]
     assert compared(docs.limit(0)).count() == 0
     assert compared(docs.where("doc_id = 3")).first().near_next == 1.0
+
+
+def check_of(key):
+    return xx(key.to_bytes(8, "little"), (7).to_bytes(4, "little"))
+
+
+def read(fingerprint):
+    """Cells of a returned fingerprint."""
+    return [[int(n), int(k, 16), int(c, 16)] for n, k, c in (cell.split(":") if cell else ("0", "0", "0") for cell in fingerprint.split(","))]
+
+
+def peeled(a, b):
+    """Digests only in a and only in b, from returned fingerprints alone; None if they can't be told."""
+    width = WIDTHS[0]
+    cells = [[x[0] - y[0], x[1] ^ y[1], x[2] ^ y[2]] for x, y in zip(read(a), read(b), strict=True)]
+    out = {1: set(), -1: set()}
+    while pure := next((c for c in cells if abs(c[0]) == 1 and c[2] == check_of(c[1])), None):
+        sign, key, check = pure
+        out[sign].add(key)
+        for row, bits in enumerate((0, 20, 40)):
+            cell = cells[row * width + (key >> bits) % width]
+            cell[0], cell[1], cell[2] = cell[0] - sign, cell[1] ^ key, cell[2] ^ check
+    return (out[1], out[-1]) if not any(x for c in cells for x in c) else None
+
+
+def test_returned_fingerprints_can_be_peeled(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(400)]
+    body = rng.choices(words, k=2000)
+    texts = [" ".join(body)]
+    for at in (3, 700, 1990):
+        texts.append(" ".join([*body[:at], "added", *body[at:]]))
+    texts.append(" ".join(rng.choices(words, k=2000)))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in compared(frame).collect()}
+    digests = [{xx(p) for p in paragraphs(t)} for t in texts]
+    for i in (1, 2, 3):
+        assert peeled(got[0].fingerprint, got[i].fingerprint) == (digests[0] - digests[i], digests[i] - digests[0])
+    assert peeled(got[0].fingerprint, got[0].fingerprint) == (set(), set())
+    # too much differs for so few cells, which peeling notices
+    assert peeled(got[0].fingerprint, got[4].fingerprint) is None
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnop    ", "\u4e00\u4e8c\u4e09\U0001f600\u56db\u4e94\u516d\u4e03"])
+def test_whole_texts_count_wherever_they_differ(spark, letters):
+    rng = random.Random(len(letters))
+    body, other = ("".join(rng.choices(letters, k=5512)) for _ in range(2))
+    # by descending id each is compared with the next
+    docs = [(4, "x" + body), (3, body), (2, body[:512] + other[512:]), (1, body[:-1] + "y")]
+    got = {r.doc_id: r.near_next for r in compared(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[4] > 0.95 and got[3] < 0.2 and got[1] > 0.95
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(50_000)]
+    long = " ".join(rng.choices(words, k=30_000))
+    unbroken = "".join(rng.choices("abcdefgh", k=100_000))
+    docs = [(4, "z" + long), (3, long), (2, "z" + unbroken), (1, unbroken)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in compared(frame).collect()}
+    expect = brute(docs)
+    for i, (n, sha, near_edited, near_next, _) in expect.items():
+        assert (got[i].n_chars, got[i].edited_sha256, got[i].near_edited, got[i].near_next) == (n, sha, near_edited, near_next)
+    assert got[4].near_next > 0.999 and got[2].near_next > 0.999 and got[3].near_next < 0.01
+
+
+def test_paragraphs_keep_the_text(spark):
+    rng = random.Random(6)
+    text = "one two\n\nthree " + "k" * 20 + " " + "".join(rng.choices("\u00e9\U0001f600abcdefg", k=400))
+    row = spark.createDataFrame([(text,)], "t string").select(paragraphs_of(F.col("t")).alias("p")).first()
+    assert "".join(row.p).replace(" ", "") == text.replace("\n", "").replace(" ", "")
+    assert len(row.p) > 4
