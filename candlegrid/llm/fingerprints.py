@@ -93,9 +93,9 @@ def _masked(bits: int, mask: Column) -> Lambda:
     return lambda k: F.shiftrightunsigned(k, bits).bitwiseAND(mask)
 
 
-def _cells_of(keys: Column, width: int) -> Column:
+def _cells_of(keys: Column, width: Column) -> Column:
     """For each of the three rows, the cell of each digest."""
-    mask = F.lit(width - 1).cast("long")
+    mask = (width - 1).cast("long")
     return F.array(*[F.transform(keys, _masked(bits, mask)) for bits in _BITS])
 
 
@@ -116,9 +116,10 @@ def signed(keys: Column, sign: int) -> Column:
     return F.transform(keys, lambda k: _named(k=k, s=F.lit(sign).cast("long")))
 
 
-def sketch(keys: Column, width: int) -> Column:
+def sketch(keys: Column, width: int | Column) -> Column:
     """Cells of signed digests, row by row: array of n, key, check."""
-    every = F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long"))
+    width = F.lit(width)
+    every = F.sequence(F.lit(0).cast("long"), (width - 1).cast("long"))
 
     def rows(t: Column) -> Column:
         return F.flatten(F.transform(t["c"], lambda cells: F.transform(every, lambda i: _let(F.filter(t["k"], lambda k, x: F.get(cells, x) == i), _cell))))
@@ -134,7 +135,7 @@ def subtract(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, _minus)
 
 
-def peel(cells: Column, width: int) -> Column:
+def peel(cells: Column, width: int | Column) -> Column:
     """Digests only in the first (a) and only in the second (b) of two subtracted sketches; null if some can't be told."""
     none = F.array().cast("array<struct<k:bigint,s:bigint>>")
     start = _named(cells=cells, out=none)
@@ -159,8 +160,13 @@ def peel(cells: Column, width: int) -> Column:
 
 
 def _bucket_difference(a: Column, b: Column) -> Column:
-    attempts = [peel(subtract(sketch(signed(a, 1), w), sketch(signed(b, 1), w)), w) for w in WIDTHS]
-    return F.coalesce(*attempts, _named(a=F.array_except(a, b), b=F.array_except(b, a)))
+    def attempt(width: Column) -> Column:
+        return peel(subtract(sketch(signed(a, 1), width), sketch(signed(b, 1), width)), width)
+
+    # a later attempt is made only if all before it failed
+    untold = F.lit(None).cast("struct<a:array<bigint>,b:array<bigint>>")
+    told = F.aggregate(F.array(*[F.lit(w) for w in WIDTHS]), untold, lambda found, w: F.coalesce(found, attempt(w)))
+    return F.coalesce(told, _named(a=F.array_except(a, b), b=F.array_except(b, a)))
 
 
 def difference(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
@@ -267,11 +273,14 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
     both = lent.join(texts, ["a", "b"]).select("id", "times", "text", "d_next", F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - F.col("m")), F.col("lent")).alias("edited"))
     digested = both.select("id", "times", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), paragraph_digests(F.col("text")).alias("d"), paragraph_digests(F.col("edited")).alias("d_edited"), "d_next")
-    cells = digested.select("*", sketch(signed(F.col("d"), 1), WIDTHS[0]).alias("s"), sketch(signed(F.col("d_edited"), 1), WIDTHS[0]).alias("s_edited"), sketch(signed(F.col("d_next"), 1), WIDTHS[0]).alias("s_next"))
+    # of the text, the edited one and the next, in this order
+    cells = digested.select("*", F.transform(F.array("d", "d_edited", "d_next"), lambda d: sketch(signed(d, 1), WIDTHS[0])).alias("s"))
+    own, others = F.col("s")[0], F.array(*[_named(d=F.col(d), s=F.col("s")[i]) for i, d in ((1, "d_edited"), (2, "d_next"))])
 
-    def near(other: str, sketched: str) -> Column:
-        return _let(difference(F.col("d"), F.col(other), F.col("s"), F.col(sketched)), lambda only: likeness(F.col("d"), F.col(other), only))
+    def near(other: Column) -> Column:
+        return _let(difference(F.col("d"), other["d"], own, other["s"]), lambda only: likeness(F.col("d"), other["d"], only))
 
-    out = cells.select("id", "times", "n_chars", "edited_sha256", shown(F.col("s")).alias("fingerprint"), shown(F.col("s_edited")).alias("edited_fingerprint"), near("d_edited", "s_edited").alias("near_edited"), near("d_next", "s_next").alias("near_next"))
+    out = cells.select("id", "times", "n_chars", "edited_sha256", shown(own).alias("fingerprint"), shown(F.col("s")[1]).alias("edited_fingerprint"), F.transform(others, near).alias("near"))
+    out = out.select(*out.columns[:-1], F.col("near")[0].alias("near_edited"), F.col("near")[1].alias("near_next"))
     names = out.columns[2:]
     return out.select("id", *names, F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("_copy")).select(F.col("id").alias(id_col), *names)
