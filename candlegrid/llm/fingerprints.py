@@ -9,7 +9,7 @@ words repeat, stays one paragraph.
 The digests of the distinct paragraphs go into the cells of a sketch, each into one cell of each of three rows; a cell holds a
 count, the digests' XOR and the XOR of their check values. Subtracting one version's cells from the other's leaves
 the differing digests alone. Peeling takes out what stands alone in a cell, until nothing is left. If something
-is left, both versions are sketched anew with more cells and subtracted again: first their digests are dealt to buckets by
+is left, the comparison is tried again with more cells: first their digests are dealt to buckets by
 their hash, as many as the two texts' sizes call for, each with a sketch of its own, then a bucket that still fails is sketched
 larger by the steps of `WIDTHS`. Two digests that share their cells in all rows even then, of a chance of about one in
 a thousand million a pair, would be left; such a bucket is compared digest by digest.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from candlegrid.llm.batches import stored
 
 #: A word in so many ends a paragraph, and a code point in so many of an unbroken stretch; both powers of two.
-WORDS, POINTS = 8, 32
+WORDS, POINTS = 32, 32
 #: Code points of an unbroken stretch beyond which it is cut inside, and of a window that chooses a cut there.
 LONG, WINDOW = 64, 4
 #: Cells in each of a sketch's three rows, at first and on later attempts.
@@ -160,8 +160,11 @@ def peel(cells: Column, width: int | Column) -> Column:
 
 
 def _bucket_difference(a: Column, b: Column) -> Column:
+    # a sketch is linear: that of a's digests and b's taken out is the one of a less the one of b, in half the passes
+    both = F.concat(signed(a, 1), signed(b, -1))
+
     def attempt(width: Column) -> Column:
-        return peel(subtract(sketch(signed(a, 1), width), sketch(signed(b, 1), width)), width)
+        return peel(sketch(both, width), width)
 
     # a later attempt is made only if all before it failed
     untold = F.lit(None).cast("struct<a:array<bigint>,b:array<bigint>>")

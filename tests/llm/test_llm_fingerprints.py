@@ -138,7 +138,10 @@ def test_whole_texts_count_wherever_they_differ(spark, letters):
     # by descending id each is compared with the next
     docs = [(4, "x" + body), (3, body), (2, body[:512] + other[512:]), (1, body[:-1] + "y")]
     got = {r.doc_id: r.near_next for r in compared(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert got[4] > 0.95 and got[3] < 0.2 and got[1] > 0.95
+    expect = brute(docs)
+    assert all(got[i] == expect[i][3] for i in got)
+    # a letter changes one paragraph of some twenty to thirty; the first after the last differs from it by two letters
+    assert got[4] > 0.9 and got[3] < 0.2 and got[1] > 0.8
 
 
 def test_very_long_texts(spark):
