@@ -232,10 +232,19 @@ def _similar(pairs: DataFrame, texts: DataFrame, threshold: float, size: int) ->
     return met.where(F.col("shared") >= threshold * (F.col("n") - F.col("shared"))).select("a", "b")
 
 
+def print_links(printed: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes (node, fp) by which all are reachable whose fingerprints are within BITS bits."""
+    first = printed.groupBy("fp").agg(F.min("node").alias("least"))
+    same = printed.join(first, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    one, two = first.select(F.col("fp").alias("a"), F.col("least").alias("x")), first.select(F.col("fp").alias("b"), F.col("least").alias("y"))
+    return same.union(links(first.select("fp")).join(one, "a").join(two, "b").select("x", "y"))
+
+
 def similar_documents(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per distinct (id, text): id, node (a hash of the text) and group, the least node of those reachable.
 
-    Two texts are linked if their sets of `size`-word shingles have a similarity of `threshold` or more, told from
+    Two texts are linked as in near_duplicates, by fingerprints over three-word shingles, repeats included, that are
+    found by the two segments and differ in at most two bits. They are also linked if their sets of `size`-word shingles have a similarity of `threshold` or more, told from
     the hashes of all their distinct shingles. Whole fingerprints within two bits and equal sampled
     fingerprints propose pairs; of those that share a fingerprint, or have close ones, each is compared with
     one of them first, then all that are not in one group yet are compared with each other. A pair
@@ -243,6 +252,7 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, size: int = 5, id
     without words are equal to each other.
     """
     columns = [
+        T.StructField("own", T.LongType()),
         T.StructField("fp", T.LongType()),
         T.StructField("samples", T.ArrayType(T.LongType())),
         T.StructField("n", T.LongType()),
@@ -253,6 +263,7 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, size: int = 5, id
         def apply(texts):
             told = [signature_of(t, size) for t in texts]
             return [
+                np.array([fingerprint_of(t) for t in texts], np.uint64).view(np.int64),
                 np.array([t[0] for t in told], np.uint64).view(np.int64),
                 [np.array(t[1], np.uint64).view(np.int64) for t in told],
                 np.array([t[2] for t in told], np.int64),
@@ -264,9 +275,10 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, size: int = 5, id
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("node"), text.alias("_text"))
     told = stored(map_texts(rows, make, columns, "_id", "_text", ["node"]), "signatures")
-    nodes = told.groupBy("node").agg(F.first("fp").alias("fp"), F.first("samples").alias("samples"), F.first(F.struct("n", "odd")).alias("set"))
+    nodes = told.groupBy("node").agg(F.first("own").alias("own"), F.first("fp").alias("fp"), F.first("samples").alias("samples"), F.first(F.struct("n", "odd")).alias("set"))
     nodes = stored(nodes, "nodes")
 
+    linked = stored(print_links(nodes.select("node", F.col("own").alias("fp"))), "linked")
     sampled = nodes.select("node", F.posexplode("samples").alias("table", "key"))
     meeting = sampled.groupBy("table", "key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     proposed = sampled.join(meeting, ["table", "key"]).select("a", F.col("node").alias("b"))
@@ -279,7 +291,7 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, size: int = 5, id
     one, two = nodes.select(F.col("node").alias("a"), F.col("set").alias("x")), nodes.select(F.col("node").alias("b"), F.col("set").alias("y"))
     pairs = pairs.join(one, "a").join(two, "b").where(_possible("x", "y", threshold)).select("a", "b")
     texts = rows.select("node", "_text")
-    roots = components(_similar(pairs, texts, threshold, size))
+    roots = components(linked.union(_similar(pairs, texts, threshold, size)))
 
     # what meets without being reachable yet: all pairs, since those already in one group can't change the groups
     placed = nodes.join(roots, "node", "left").select(F.struct("node", F.coalesce("root", "node").alias("root"), "set.n", "set.odd").alias("x"), "fp", "samples")

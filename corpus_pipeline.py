@@ -53,7 +53,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; documents without an id come after all others."""
+    """Of each group of near copies the document with the smallest id; documents without an id come after all others.
+
+    Near copies are those of the operator, by fingerprints within two bits, and those at SIMILARITY or more.
+    """
     found = similar_documents(docs, SIMILARITY, SHINGLE)
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.col("node").alias("node"))
     keepers = found.groupBy("group").agg(F.min(order).alias("k")).select(F.col("k.id").alias("_id"), F.col("k.node").alias("_node"))

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from candlegrid.llm.decontamination import cut_spans
-from candlegrid.llm.near_dedup import similar_documents
+from candlegrid.llm.near_dedup import fingerprint_of, near_duplicates, similar_documents
 from candlegrid.llm.pii import find, mask
 
 rng = random.Random(9)
@@ -133,3 +133,16 @@ def test_pairs_over_one_template(spark):
             other[309 + 12 * k] = f"y{i}"
         docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
     assert found_groups(spark, docs) == brute_groups(docs)
+
+
+def test_fingerprints_within_two_bits_are_near_copies(spark):
+    # a line that repeats decides the fingerprints; sets of shingles are alike at 0.2 only
+    line, own = " ".join(f"k{i}" for i in range(7)), random.Random(11)
+    docs = [(i, f"{line} " * 60 + " ".join(f"x{own.randrange(10**6)}" for _ in range(12))) for i in range(6)]
+    docs += [(10 + i, prose(80)) for i in range(20)] + [(40, ""), (41, " "), (42, "one two"), (43, "three four")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    own = {r.doc_id: r.component_id for r in near_duplicates(frame).collect()}
+    assert {own[i] for i in range(6)} == {0} and all((fingerprint_of(docs[0][1]) ^ fingerprint_of(docs[i][1])).bit_count() <= 2 for i in range(6))
+    assert found_groups(spark, docs) == own
+    kept = corpus_pipeline.near_dedup(spark, frame.selectExpr("*", "'en' as lang"), "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(own.values()))
