@@ -138,18 +138,23 @@ def subtract(a: Column, b: Column) -> Column:
 def peel(cells: Column, width: int | Column) -> Column:
     """Digests only in the first (a) and only in the second (b) of two subtracted sketches; null if some can't be told."""
     none = F.array().cast("array<struct<k:bigint,s:bigint>>")
-    start = _named(cells=cells, out=none)
+    start = _named(cells=cells, out=none, more=F.lit(True))
 
     def round_(state: Column, _: Column) -> Column:
+        # where nothing stood alone nothing will, and later rounds needn't look
+        return F.when(state["more"], looked(state)).otherwise(state)
+
+    def looked(state: Column) -> Column:
         pure = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"])))
 
         def without(out: Column) -> Column:
             gone = sketch(out, width)
             left = F.zip_with(state["cells"], gone, lambda x, y: F.when((y["n"] == 0) & (y["key"] == 0), x).otherwise(_minus(x, y)))
-            return _named(cells=left, out=F.concat(state["out"], out))
+            return _named(cells=left, out=F.concat(state["out"], out), more=F.lit(True))
 
         alone = F.array_distinct(F.transform(pure, lambda c: _named(k=c["key"], s=c["n"])))
-        return _let(alone, lambda out: F.when(F.size(out) == 0, state).otherwise(without(out)))
+        stuck = _named(cells=state["cells"], out=state["out"], more=F.lit(False))
+        return _let(alone, lambda out: F.when(F.size(out) == 0, stuck).otherwise(without(out)))
 
     done = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_)
 
@@ -264,18 +269,18 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     chain = chain.select(F.col("id").alias("from_id"), F.col("a").alias("from_a"), F.col("b").alias("from_b"), "to.times", "to.id", "to.a", "to.b")
 
     rows = _keyed(docs, id_col, text_col)
-    # met twice, by its successor's key and by its own, in one shuffle of the texts
-    texts = rows.select("a", "b", "text").dropDuplicates(["a", "b"])
+    # met twice, by its successor's key and by its own, in one shuffle of the texts; a text is cut once for both
+    texts = rows.select("a", "b", "text", paragraph_digests(F.col("text")).alias("d")).dropDuplicates(["a", "b"])
     sizes = rows.select("a", "b", F.length("text").alias("n")).dropDuplicates(["a", "b"])
     sizes = sizes.select(F.col("a").alias("from_a"), F.col("b").alias("from_b"), F.floor(F.col("n") / 3).cast("int").alias("m"))
 
     # what the successor lends: as much of its beginning as is needed, and its digests
     asked = chain.join(sizes, ["from_a", "from_b"]).drop("id")
     lent = asked.join(texts, ["a", "b"]).select(
-        F.col("from_id").alias("id"), F.col("from_a").alias("a"), F.col("from_b").alias("b"), "times", "m", F.substring(F.col("text"), F.lit(1), F.col("m")).alias("lent"), paragraph_digests(F.col("text")).alias("d_next")
+        F.col("from_id").alias("id"), F.col("from_a").alias("a"), F.col("from_b").alias("b"), "times", "m", F.substring(F.col("text"), F.lit(1), F.col("m")).alias("lent"), F.col("d").alias("d_next")
     )
-    both = lent.join(texts, ["a", "b"]).select("id", "times", "text", "d_next", F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - F.col("m")), F.col("lent")).alias("edited"))
-    digested = both.select("id", "times", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), paragraph_digests(F.col("text")).alias("d"), paragraph_digests(F.col("edited")).alias("d_edited"), "d_next")
+    both = lent.join(texts, ["a", "b"]).select("id", "times", "text", "d", "d_next", F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - F.col("m")), F.col("lent")).alias("edited"))
+    digested = both.select("id", "times", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "d", paragraph_digests(F.col("edited")).alias("d_edited"), "d_next")
     # of the text, the edited one and the next, in this order
     cells = digested.select("*", F.transform(F.array("d", "d_edited", "d_next"), lambda d: sketch(signed(d, 1), WIDTHS[0])).alias("s"))
     own, others = F.col("s")[0], F.array(*[_named(d=F.col(d), s=F.col("s")[i]) for i, d in ((1, "d_edited"), (2, "d_next"))])
