@@ -57,7 +57,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Near copies are those of the operator, by fingerprints within two bits, and those at SIMILARITY or more.
     """
-    found = similar_documents(docs, SIMILARITY, SHINGLE)
+    found = similar_documents(docs, SIMILARITY, SHINGLE, prints=True)
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.col("node").alias("node"))
     keepers = found.groupBy("group").agg(F.min(order).alias("k")).select(F.col("k.id").alias("_id"), F.col("k.node").alias("_node"))
     node = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
