@@ -49,17 +49,22 @@ MOST_DAYS = 55_000
 POLICIES = ("overwrite", "keep_old", "mark_inactive", "delete_tail_merge")
 
 
+def _unless_missing(keys: Sequence[str], side: str, value: bool) -> Column:
+    """``value``, failing at run time on a row with a missing key."""
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    message = F.lit(f"NULL in key columns {', '.join(keys)} of the {side} rows")
+    return F.when(missing, F.raise_error(message).cast("boolean")).otherwise(F.lit(value))
+
+
 def with_keys(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
     """``df``, failing at run time on a row with a missing key.
 
     A tuple NOT IN would drop old rows next to a NULL key in the batch and an anti-join
     would keep them, so such rows are refused rather than resolved either way.
     """
-    missing = F.lit(False)
-    for k in keys:
-        missing = missing | F.col(k).isNull()
-    message = F.lit(f"NULL in key columns {', '.join(keys)} of the {side} rows")
-    return df.where(F.when(missing, F.raise_error(message).cast("boolean")).otherwise(True))
+    return df.where(_unless_missing(keys, side, True))
 
 
 def upsert(
@@ -84,21 +89,22 @@ def upsert(
     """
     if policy not in POLICIES:
         raise ValueError(f"unknown policy {policy!r}, expected one of {POLICIES}")
+    if old is not None and policy == "delete_tail_merge":
+        asked = tuple(dict.fromkeys((*merge.keys, *keys)))
+        return _survivors(_merge_frame(old, new, merge, tail_n, asked), old.columns)
     new = with_keys(new, keys, "new")
     if old is None:
         return new
     old = with_keys(old, keys, "old")
     if policy == "keep_old":
         return _keep_old(old, new, keys, tail_n, tail_keys)
-    if policy == "delete_tail_merge":
-        return _survivors(_merge_frame(with_keys(old, merge.keys, "old"), with_keys(new, merge.keys, "new"), merge, tail_n), old.columns)
     kept = old.join(new.select(*keys), list(keys), "left_anti")
     if policy == "mark_inactive":
         kept = kept.withColumn(active_column, F.lit(False))
     return kept.unionByName(new)
 
 
-def _merge_frame(old: DataFrame, new: DataFrame, by: MergeKeys, tail_n: int) -> DataFrame:
+def _merge_frame(old: DataFrame, new: DataFrame, by: MergeKeys, tail_n: int, asked: Sequence[str] = ()) -> DataFrame:
     """Old and new rows by series, with what a merge asks of them.
 
     _new; _touched: the batch has rows of the series; _met: the other side has a row of this key; _doomed: a batch series
@@ -106,25 +112,28 @@ def _merge_frame(old: DataFrame, new: DataFrame, by: MergeKeys, tail_n: int) ->
 
     There are at most as many days in a part as calendar days; that bound is checked as the query runs, and the
     days are sent to every task, so that the rows of one day, which all tickers share, need not meet in one task.
+
+    All windows share one layout, latest day first, so a rank grows by a row at a time. The days are worked out once, from
+    the key columns alone. Rows that lack a value in ``asked`` are refused as they get their mark: a filter would be pushed
+    into some of the branches that a side is built from, and these would no longer share an exchange.
     """
-    both = old.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
-    series = Window.partitionBy(*by.series)
-    by_day = series.orderBy(by.order)
+    both = old.withColumn("_new", _unless_missing(asked, "old", False)).unionByName(new.withColumn("_new", _unless_missing(asked, "new", True)))
+    by_day = Window.partitionBy(*by.series).orderBy(F.col(by.order).desc())
+    series = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     same_day = by_day.rangeBetween(Window.currentRow, Window.currentRow)
-    later = by_day.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     laid = both.withColumns(
         {
             "_touched": F.bool_or("_new").over(series),
             "_met": F.when(F.col("_new"), ~F.bool_and("_new").over(same_day)).otherwise(F.bool_or("_new").over(same_day)),
-            "_rank": F.count_if(~F.col("_new")).over(later),
+            "_rank": F.count_if(~F.col("_new")).over(so_far),
         }
     )
     tail = laid.where(~F.col("_new") & F.col("_touched") & (F.col("_rank") <= tail_n))
     days = tail.groupBy(*by.within, by.order).agg(F.lit(True).alias("_doomed"))
-    part = F.concat_ws("/", F.lit(""), *(F.col(c).cast("string") for c in by.within))
-    counted = days.groupBy(part.alias("_part")).agg(F.count("*").alias("_days"))
+    counted = days.withColumn("_days", F.count("*").over(Window.partitionBy(*by.within)))
     few = F.when(F.col("_days") > MOST_DAYS, F.raise_error(F.lit("more dates than calendar days")).cast("boolean")).otherwise(True)
-    bounded = days.withColumn("_part", part).join(F.broadcast(counted.where(few).select("_part")), "_part").drop("_part")
+    bounded = counted.where(few).drop("_days")
     joined = laid.join(F.broadcast(bounded), [*by.within, by.order], "left")
     return joined.withColumn("_doomed", F.coalesce("_doomed", F.lit(False)))
 
@@ -153,7 +162,7 @@ def observed_merge(
     for value in values:
         here = F.coalesce(F.col(by) == value, F.lit(False))
         counters += [F.count_if(here & told).alias(f"{value}.{what}") for what, told in _outcomes().items()]
-    frame = _merge_frame(with_keys(old, merge.keys, "old"), with_keys(new, merge.keys, "new"), merge, tail_n)
+    frame = _merge_frame(old, new, merge, tail_n, merge.keys)
     return _survivors(frame.observe(observation, *counters), old.columns), observation
 
 

@@ -5,8 +5,12 @@ import re
 
 import pytest
 
+from candlegrid.operators.upsert import merge_report, upsert
 from workloads import derive
 
+KEYS = ("Date", "ticker", "period")
+PRICE = "Date date, ticker string, period string, Close double"
+
 
 @pytest.fixture
 def sf(spark, tmp_path):
@@ -32,5 +36,25 @@ def layouts(df) -> int:
     return len(re.findall(r"^[\s:+*-]*Exchange hashpartitioning\(ticker", final, re.M))
 
 
+def test_a_rank_of_the_merge_grows_row_by_row(spark):
+    def frame(*rows):
+        return spark.createDataFrame([(dt.date(2001, 1, d), t, "D", c) for d, t, c in rows], PRICE)
+
+    old, new = frame((1, "A", 1.0), (2, "A", 2.0), (3, "A", 3.0), (3, "A", 3.5), (2, "B", 4.0)), frame((3, "A", 9.0), (4, "A", 9.5))
+    for out in (upsert(old, new, KEYS, "delete_tail_merge"), merge_report(old, new)):
+        plan = planned(out)
+        assert not re.search(r"specifiedwindowframe\(\w+, currentrow\$\(\), unboundedfollowing", plan)
+        assert plan.count("BroadcastExchange") == 1
+    # both rows of the third day are the last two
+    got = upsert(old, new, KEYS, "delete_tail_merge").collect()
+    assert sorted((r["Date"].day, r["ticker"], r["Close"]) for r in got) == [(1, "A", 1.0), (2, "A", 2.0), (2, "B", 4.0), (3, "A", 9.0), (4, "A", 9.5)]
+
+
 def test_bars_are_laid_out_once(spark, sf):
     assert layouts(derive.all_periods(spark, sf)) == 1
+
+
+def test_sides_of_a_merge_share_their_exchanges(spark, sf):
+    full = derive.all_periods(spark, sf).select(*KEYS, "Close")
+    # one of the keys alone, one of all columns
+    assert layouts(upsert(full, full, KEYS, "delete_tail_merge")) == 2
