@@ -56,8 +56,11 @@ def changed_tickers(before: DataFrame, now: DataFrame) -> DataFrame:
 
 
 def refreshed(old: DataFrame, silver: DataFrame, changed: DataFrame, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``old`` with the rows of changed tickers replaced by what ``build`` makes of their bars."""
-    tickers = changed.select("ticker")
+    """``old`` with the rows of changed tickers replaced by what ``build`` makes of their bars.
+
+    The changed tickers, at most as many as are listed, are sent to every task: a join by exchange would lay out all gold rows again.
+    """
+    tickers = F.broadcast(changed.select("ticker"))
     return old.join(tickers, "ticker", "left_anti").unionByName(build(silver.join(tickers, "ticker", "left_semi")))
 
 

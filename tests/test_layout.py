@@ -7,6 +7,7 @@ import pytest
 
 from candlegrid.operators.upsert import merge_report, upsert
 from workloads import derive
+from workloads.queries import QUERIES
 
 KEYS = ("Date", "ticker", "period")
 PRICE = "Date date, ticker string, period string, Close double"
@@ -58,3 +59,15 @@ def test_sides_of_a_merge_share_their_exchanges(spark, sf):
     full = derive.all_periods(spark, sf).select(*KEYS, "Close")
     # one of the keys alone, one of all columns
     assert layouts(upsert(full, full, KEYS, "delete_tail_merge")) == 2
+
+
+def test_refreshed_gold_is_not_laid_out_again(spark, sf):
+    at = "spark.sql.autoBroadcastJoinThreshold"
+    kept = spark.conf.get(at)
+    spark.conf.set(at, "-1")
+    try:
+        plan = planned(QUERIES["gold_refreshed"](spark, sf))
+    finally:
+        spark.conf.set(at, kept)
+    gold = plan[: plan.index("MapInArrow")]
+    assert "SortMergeJoin" not in gold and "Exchange hashpartitioning" not in gold, gold
